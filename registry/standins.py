@@ -173,6 +173,61 @@ SQL = {
                substr('grizY', cast(s_suppkey % 5 as int)+1, 1) as band
         from {supplier}
     """,
+    # detector files of the older archive and their zero points
+    "sky_oldfile": """
+        select concat('DECam_', lpad(cast(l_orderkey as string), 8, '0'), '_', lpad(cast(l_linenumber as string), 2, '0'), '.fits') as filename,
+               concat('run', cast(l_suppkey % 400 as string)) as run,
+               case when l_suppkey % 5 = 0 then 'raw' else 'red' end as filetype,
+               concat('ID', cast(l_partkey as string)) as id
+        from {lineitem}
+    """,
+    "sky_oldzp": """
+        select concat('ID', cast(p_partkey as string)) as imageid, 30 + cast(p_partkey % 1000 as double)/1000 as mag_zero
+        from {part} where p_partkey % 11 <> 0
+    """,
+    # provenance through artifacts and executed tasks
+    "sky_artifact": """select concat('A', filename) as id, filename as name from {sky_wgb}""",
+    "sky_generated": """select concat('A', filename) as opm_artifact_id, task_id from {sky_wgb}""",
+    "sky_exec": """
+        select cast(s_suppkey as bigint) as task_id, cast(s_suppkey % 40 as int) as reqnum,
+               concat('D', cast(s_suppkey as string)) as unitname, cast(s_nationkey % 2 as int) as attnum
+        from {supplier}
+    """,
+    "sky_exectag": """
+        select reqnum, unitname, attnum, case task_id % 3 when 0 then 'Y2N_FIRSTCUT' else 'Y2A1_FINALCUT' end as tag from {sky_exec}
+    """,
+    # image headers: one per part, rotated and scaled a little differently each
+    "sky_header": """
+        select p_partkey as image_id, cast(2048 as int) as naxis1, cast(4096 as int) as naxis2,
+               cast((p_partkey*7919) % 360000 as double)/1000 as crval1,
+               cast((p_partkey*104729) % 120000 as double)/1000 - 60 as crval2,
+               cast(p_partkey % 17 as double)*100 - 800 as crpix1, cast(p_partkey % 13 as double)*100 + 1000 as crpix2,
+               cast(p_size as double) / 10000000 as cd1_1, cast(0.0000731 as double) as cd1_2,
+               cast(-0.0000729 as double) as cd2_1, cast(p_size as double) / 20000000 as cd2_2
+        from {part}
+    """,
+    # survey table as stored, with small and larger deviations in some rows
+    "sky_bounds": """
+        select cast(p_partkey as bigint) as id, concat('T', lpad(cast(p_partkey as string), 8, '0')) as tilename,
+               cast(floor(((p_partkey*7919) % 21600)/360) as int) as dec_row, cast((p_partkey*7919) % 21600 % 360 as int) as ra_step,
+               cast((p_partkey*7919) % 21600 % 360 as double) as ra_cent,
+               cast(floor(((p_partkey*7919) % 21600)/360) as double) - 60 as dec_cent,
+               cast((p_partkey*7919) % 21600 % 360 as double) - 0.5 as uramin,
+               cast((p_partkey*7919) % 21600 % 360 as double) + 0.5 - case when p_size = 7 then 2 else 0 end as uramax,
+               cast(floor(((p_partkey*7919) % 21600)/360) as double) - 60.5 as udecmin,
+               cast(floor(((p_partkey*7919) % 21600)/360) as double) - 59.5 - case when p_size = 9 then 2 else 0 end as udecmax,
+               case when (p_partkey*7919) % 21600 % 360 = 0 then 'Y' else 'N' end as crossra0
+        from {part}
+    """,
+    "sky_bounds_stored": """
+        select id, tilename, dec_row, ra_step,
+               ra_cent + case when id % 10 = 1 then 0.00003 else 0 end as ra_cent,
+               dec_cent + case when id % 10 = 2 then 0.5 else 0 end as dec_cent,
+               case when uramin < 0 then uramin + 360 else uramin end as uramin,
+               uramax + case when id % 10 = 3 then 360 else 0 end as uramax,
+               udecmin, udecmax + case when id % 10 = 4 then 0.002 else 0 end as udecmax, crossra0
+        from {sky_bounds} where id % 10 <> 5
+    """,
     # image planes: 8 x 8 pixels per vector
     "sky_pixel": """
         select concat('plane', cast(vec_id as string)) as file, cast(label as int) as hdu,

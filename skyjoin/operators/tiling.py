@@ -162,16 +162,16 @@ def with_ids(
     per_row = joined.groupBy(row).agg(F.count_if(F.col("id").isNull()).alias("_n"))
     before = Window.orderBy(row).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_row.select(row, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    top = known.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
+    top = known.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     in_row = F.sum(F.when(F.col("id").isNull(), 1).otherwise(0)).over(
         Window.partitionBy(row).orderBy(step).rowsBetween(Window.unboundedPreceding, 0))
-    # both side tables are bounded: one row per Dec row, and one row
-    joined = joined.join(F.broadcast(offsets), row).join(F.broadcast(top))
-    new_id = F.col("_top") + F.col("_offset") + in_row
+    # bounded: one row per Dec row
+    joined = joined.join(F.broadcast(offsets), row)
+    new_id = top + F.col("_offset") + in_row
     return (
         joined.withColumn("_new", new_id)
         .withColumns({"is_new": F.col("id").isNull(), "id": F.coalesce("id", "_new").cast("bigint")})
-        .drop("_new", "_offset", "_top")
+        .drop("_new", "_offset")
     )
 
 
