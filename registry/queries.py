@@ -353,9 +353,8 @@ def wcs_corners_tpv(t):
 
 @query
 def wcs_sky2pix(t):
-    w = wcs.Wcs()
-    x, y = wcs.sky2pix(F.col("crval1") + 0.05, F.col("crval2") - 0.03, w)
-    df = t.sky_header.withColumns({"x": x, "y": y})
+    position = {("x", "y"): (F.col("crval1") + 0.05, F.col("crval2") - 0.03)}
+    df = wcs.with_pixels(t.sky_header, position, wcs.Wcs())
     return df.select("image_id", *rounded("x", "y", digits=3))
 
 
@@ -372,9 +371,8 @@ def custom_tiles(t):
 
 @query
 def hpix_assign(t):
-    return t.sky_image.select(
-        "filename", healpix.nested_index("ra_cent", "dec_cent", 32).alias("hpix_32"),
-        healpix.nested_index("ra_cent", "dec_cent", 256).alias("hpix_256"))
+    df = healpix.with_nested_index(t.sky_image.select("filename", "ra_cent", "dec_cent"), "hpix_32", nside=32)
+    return healpix.with_nested_index(df, "hpix_256", nside=256).select("filename", "hpix_32", "hpix_256")
 
 
 @query
@@ -394,7 +392,8 @@ def sky_map_lookup(t):
 
 def _rectangles(t):
     images = t.sky_image.select("band", "expnum", "ra_cent", "dec_cent", "ra_size", "dec_size", *sphere.corner_names("rac"), *sphere.corner_names("decc"))
-    return depth.rectangles(overlap.overlap_join(images, depth.with_pixel_limits(t.sky_tile)))
+    rects = depth.rectangles(overlap.overlap_join(images, depth.with_pixel_limits(t.sky_tile)))
+    return depth.merge_rectangles(rects)
 
 
 @query
@@ -409,7 +408,9 @@ def depth_fractions(t):
 
 @query
 def depth_json(t):
-    return depth.depth_json(depth.depth_statistics(_rectangles(t)))
+    documents = depth.depth_json(depth.depth_statistics(_rectangles(t)))
+    return documents.select("tilename", *[
+        F.get_json_object("json", f"$.{band}.D{n}").cast("double").alias(f"{band}_d{n}") for band in "grizY" for n in (1, 2, 3)])
 
 
 # -- lists, bands, names -------------------------------------------------------------------------

@@ -242,6 +242,25 @@ def _names(text: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", text)))
 
 
+# Large tables, and the columns over which their rows are spread.
+LARGE = {"lineitem": ["l_orderkey", "l_partkey"], "orders": ["o_orderkey"]}
+
+
+def _spread(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A large table that comes in fewer files than there are cores is spread over them.
+
+    A file with one row group is one task, and everything up to the next shuffle would run
+    in it. Tables in many files are read as they are.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if name in LARGE and len(df.inputFiles()) < min(cores, MAX_SPREAD):
+        return df.repartition(cores, *LARGE[name])
+    return df
+
+
+MAX_SPREAD = 64
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given or derived table as a DataFrame."""
     if name == "pixel_values":
@@ -250,7 +269,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             .selectExpr("vec_id", "label", "posexplode(embedding) as (pos, v)")
         )
     if name not in SQL:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return _spread(spark, spark.read.parquet(f"{sf_dir}/{name}.parquet"), name)
     text = SQL[name]
     return spark.sql(text, **{n: table(spark, sf_dir, n) for n in _names(text)})
 

@@ -49,7 +49,7 @@ def build_image_inputs(
 
 
 def with_healpix(df: DataFrame, nside: int = 32) -> DataFrame:
-    return df.withColumn(f"hpix_{nside}", healpix.nested_index("ra_cent", "dec_cent", nside))
+    return healpix.with_nested_index(df, f"hpix_{nside}", nside=nside)
 
 
 def merge_healpix(images: DataFrame, pixels: DataFrame, nside: int = 32) -> DataFrame:
@@ -62,8 +62,8 @@ def sky_map_lookup(df: DataFrame, sky_map: DataFrame, nside: int = 32, ra: str =
 
     The map has 12 * nside^2 pixels at most; Spark broadcasts it where that is small.
     """
-    pixel = healpix.nested_index(ra, dec, nside)
-    return df.withColumn("hpix", pixel).join(sky_map.select("hpix", F.col("value").alias("map_value")), "hpix", "left")
+    placed = healpix.with_nested_index(df, "hpix", ra, dec, nside)
+    return placed.join(sky_map.select("hpix", F.col("value").alias("map_value")), "hpix", "left")
 
 
 def build_plane_inputs(
