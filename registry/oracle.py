@@ -80,7 +80,7 @@ select {OUT} from sky_image i join sky_tag g on g.filename = i.filename and g.ta
 sql("tile_inputs_extras", "sky_image sky_tile sky_proctag", f"""
 select {OUT}, upper(i.band) as band_upper, p.tag as proctag
 from sky_image i join sky_proctag p on p.pfw_attempt_id = i.pfw_attempt_id and p.tag = 'Y2A1_FINALCUT'
-join sky_tile t on {NEAR} where i.expnum % 2 = 0 and i.ccdnum < 5""")
+join sky_tile t on {NEAR} where i.dec_cent > -30 and i.ccdnum < 5""")
 sql("tile_inputs_zp_force", "sky_image sky_tile sky_blacklist", f"""
 select {OUT}, cast(32.2 as double) as mag_zero from sky_image i join sky_tile t on {NEAR} where {NOT_BLACK}""")
 sql("images_without_zeropoint", "sky_image sky_zeropoint", f"""
@@ -329,7 +329,7 @@ sql("tiling_consistency", "sky_bounds", """
 select tilename, crossra0, concat_ws(',', case when uramin > uramax and crossra0 = 'N' then 'ura' end, case when udecmin > udecmax then 'udec' end) as reason
 from sky_bounds where (uramin > uramax and crossra0 = 'N') or udecmin > udecmax""")
 sql("tile_ids", "sky_bounds", """
-, known as (select tilename, id from sky_bounds where id % 3 <> 0)
+, known as (select tilename, id from sky_bounds where kind > 15)
 select b.tilename, k.id is null as is_new,
   coalesce(k.id, (select max(id) from known) + row_number() over (partition by k.id is null order by b.dec_row, b.ra_step)) as id
 from sky_bounds b left join known k on k.tilename = b.tilename""")
@@ -419,8 +419,8 @@ select image_id, {long_name('crval1', 'crval2')} as tilename, naxis1, naxis2, cr
 sql("hpix_assign", "sky_image", f"select filename, hpix_32, hpix_256 from {hpix(hpix('sky_image', 32, 'hpix_32') + ' a', 256, 'hpix_256')} b")
 sql("hpix_merge", "sky_image", f"select hpix_32, band, count(*) as n from {hpix('sky_image', 32, 'hpix_32')} a group by hpix_32, band")
 sql("sky_map_lookup", "sky_image", f"""
-select a.filename, a.hpix, cast(p.p_size as double) as map_value from {hpix('sky_image', 32, 'hpix')} a
-left join part p on p.p_partkey = a.hpix and p.p_partkey < 12288""")
+select a.filename, a.hpix, p.v as map_value from {hpix('sky_image', 32, 'hpix')} a
+left join (select p_partkey % 12288 as k, cast(max(p_size) as double) as v from part group by p_partkey % 12288) p on p.k = a.hpix""")
 
 # -- depth ---------------------------------------------------------------------------------------
 
@@ -509,7 +509,7 @@ sql("color_triple", "sky_image sky_tile", BANDS + """
 select tilename, case when list_has_all(b, ['i','r','g']) then 'i,r,g' when list_has_all(b, ['z','r','g']) then 'z,r,g'
   when list_has_all(b, ['z','i','g']) then 'z,i,g' when list_has_all(b, ['z','i','r']) then 'z,i,r' end as triple from bands""")
 sql("tile_list_union", "sky_tile", """
-select tilename from sky_tile where tile_id % 2 = 0 union all select tilename from sky_tile where tile_id % 3 = 0""")
+select tilename from sky_tile where dec_cent > -10 union all select tilename from sky_tile where ra_cent < 200""")
 _name = "replace(concat(filename, coalesce(compression, '')), '.fits.fz', '.fits')"
 _label = f"regexp_extract(regexp_replace({_name}, '\\.[^.]*$', ''), '([^_]*)$', 1)"
 sql("path_names", "sky_image", f"""
@@ -533,7 +533,7 @@ select s_name as name, concat('/root/', cast(s_nationkey as string)) as root,
 from supplier where s_name = 'Supplier#000000004'"""
 sql("polygon_files", "sky_tile", """
 select concat('Y3A1v1_tiles_10s.', cast(tile_id as string), '.pol') as filename, tile_id, 'poltiles' as kind, 'OPS/pol' as path
-from sky_tile where tile_id % 4 <> 1""")
+from sky_tile where dec_cent > -30""")
 sql("tile_names", "sky_image", f"""
 select filename, {tile_name()} as short_name, {long_name('ra_cent', 'dec_cent')} as long_name, {r(overlap('dec_cent'), 'overlap')} from sky_image""")
 
@@ -553,7 +553,7 @@ where rn <= case band when 'g' then 2 when 'r' then 1 when 'i' then 3 when 'z' t
 
 ORACLE["catalog_compare"] = """
 with c as (
- select count(*) filter (where vec_id % 40 = 1) as e, count(*) filter (where vec_id % 50 = 3) as l from embeddings)
+ select count(*) filter (where label = 1) as e, count(*) filter (where label = 3) as l from embeddings)
 select 'vec_id' as "column", cast(0 as bigint) as n_different, true as is_equal
 union all select 'embedding', e, e = 0 from c
 union all select 'label', l, l = 0 from c
@@ -571,13 +571,13 @@ from d group by file, hdu""")
 sql("plane_diff_image", "sky_pixel", f"select file, hdu, y, x, -{STEP} as diff from sky_pixel where {STEP} <> 0")
 ORACLE["config_diff"] = """
 select concat('K', cast(p_partkey as string)) as "key", p_type as value_new,
-  case when p_partkey % 5 = 0 then null when p_partkey % 7 = 0 then 'OTHER' end as value_ref
-from part where p_partkey % 5 = 0 or p_partkey % 7 = 0"""
+  case when p_size = 7 then 'OTHER' end as value_ref
+from part where p_size = 5 or p_size = 7"""
 sql("pair_missing", "sky_catalog", """
-select filename as file1, concat('H', cast(expnum as string), '.fits') as file2, expnum % 4 <> 0 as exists1, expnum % 3 <> 0 as exists2
-from sky_catalog where expnum % 4 = 0 or expnum % 3 = 0""")
+select filename as file1, concat('H', cast(expnum as string), '.fits') as file2, filetype <> 'cat_firstcut' as exists1, band <> 'g' as exists2
+from sky_catalog where filetype = 'cat_firstcut' or band = 'g'""")
 sql("pair_existing", "sky_catalog", """
-select filename as file1, concat('H', cast(expnum as string), '.fits') as file2 from sky_catalog where expnum % 4 <> 0 and expnum % 3 <> 0""")
+select filename as file1, concat('H', cast(expnum as string), '.fits') as file2 from sky_catalog where filetype <> 'cat_firstcut' and band <> 'g'""")
 sql("corner_compare", "sky_tile", """
 select tilename, round(rac1 - (rac1 + 0.001), 6) as d_rac1, 0.0::double as d_rac2, 0.0::double as d_rac3, 0.0::double as d_rac4,
   0.0::double as d_decc1, 0.0::double as d_decc2, round(decc3 - (decc3 - 0.002), 6) as d_decc3, 0.0::double as d_decc4 from sky_tile""")
@@ -585,18 +585,18 @@ sql("mask_external", "sky_pixel", """
 , m as (select y, x, case when count(*) filter (where value > 0) > count(*) / 2.0 then 1 else 0 end as v from sky_pixel group by y, x)
 select p.file, p.hdu, p.y, p.x, p.value * m.v as value from sky_pixel p join m on m.y = p.y and m.x = p.x""")
 sql("mask_rectangles", "sky_pixel", """
-, k as (select n_nationkey % 5 as x1, n_nationkey // 5 as y1 from nation where n_nationkey % 3 = 0)
+, k as (select n_nationkey % 5 as x1, n_nationkey // 5 as y1 from nation where n_regionkey < 2)
 select file, hdu, y, x, case when exists (select 1 from k where p.x >= x1 and p.x < x1 + 2 and p.y >= y1 and p.y < y1 + 2) then value else 0 end as value
 from sky_pixel p""")
 
 # -- table maintenance -----------------------------------------------------------------------------
 
 sql("upsert_tile", "sky_bounds sky_bounds_stored", f"""
-select tilename, id, {r('dec_cent', 'dec_cent')} from sky_bounds_stored where id % 5 <> 0
-union all select tilename, id + 1000000, {r('dec_cent', 'dec_cent')} from sky_bounds where id % 5 = 0""")
+select tilename, id, {r('dec_cent', 'dec_cent')} from sky_bounds_stored where not (kind = 5 or kind > 40)
+union all select tilename, id + 1000000, {r('dec_cent', 'dec_cent')} from sky_bounds where kind = 5 or kind > 40""")
 _new = {f"rac{k}": tan_ra(*_uv(*_pixels[k]), "crval1", "crval2") for k in (1, 2)} | {f"decc{k}": tan_dec(*_uv(*_pixels[k]), "crval2") for k in (1, 2)}
 sql("update_corners", "sky_tile sky_header", f"""
-, c as (select image_id, {', '.join(f'{x} as {n}' for n, x in _new.items())} from sky_header where image_id % 2 = 0)
+, c as (select image_id, {', '.join(f'{x} as {n}' for n, x in _new.items())} from sky_header where crval2 > 0)
 select t.tilename, {', '.join(f'round(coalesce(c.{n}, t.{n}), 6) as {n}' for n in _new)}, round(t.rac3, 6) as rac3
 from sky_tile t left join c on c.image_id = t.tile_id""")
 sql("lookup_tiles", "sky_tile sky_location", f"""

@@ -95,7 +95,7 @@ def tile_inputs_extras(t):
     attempts = t.sky_proctag.filter(F.col("tag") == "Y2A1_FINALCUT").select("pfw_attempt_id", F.col("tag").alias("proctag"))
     extras = select.Extras(
         select=[F.upper("band").alias("band_upper")],
-        joins=[(attempts, ["pfw_attempt_id"], "inner")], where="expnum % 2 = 0 and ccdnum < 5")
+        joins=[(attempts, ["pfw_attempt_id"], "inner")], where="dec_cent > -30 and ccdnum < 5")
     return select.select_inputs(t.sky_tile, t.sky_image, extras=extras).select(*IMAGE_OUT, "band_upper", "proctag")
 
 
@@ -314,7 +314,7 @@ def tiling_consistency(t):
 
 @query
 def tile_ids(t):
-    known = t.sky_bounds.filter("id % 3 <> 0").select("tilename", "id")
+    known = t.sky_bounds.filter("kind > 15").select("tilename", "id")
     return tiling.with_ids(t.sky_bounds.drop("id"), known).select("tilename", "id", "is_new")
 
 
@@ -383,7 +383,7 @@ def hpix_merge(t):
 
 @query
 def sky_map_lookup(t):
-    sky_map = t.part.select(F.col("p_partkey").cast("int").alias("hpix"), F.col("p_size").cast("double").alias("value")).filter("p_partkey < 12288")
+    sky_map = t.part.groupBy((F.col("p_partkey") % 12288).cast("int").alias("hpix")).agg(F.max("p_size").cast("double").alias("value"))
     return builders.sky_map_lookup(t.sky_image, sky_map).select("filename", "hpix", "map_value")
 
 
@@ -486,8 +486,8 @@ def color_triple(t):
 
 @query
 def tile_list_union(t):
-    a = t.sky_tile.filter("tile_id % 2 = 0").select("tilename")
-    b = t.sky_tile.filter("tile_id % 3 = 0").select("tilename")
+    a = t.sky_tile.filter("dec_cent > -10").select("tilename")
+    b = t.sky_tile.filter("ra_cent < 200").select("tilename")
     return a.unionByName(b)
 
 
@@ -535,7 +535,7 @@ def archive_roots(t):
 
 @query
 def polygon_files(t):
-    archive = t.sky_tile.filter("tile_id % 4 <> 1").select(
+    archive = t.sky_tile.filter("dec_cent > -30").select(
         F.concat(F.lit("Y3A1v1_tiles_10s."), "tile_id", F.lit(".pol")).alias("filename"), F.lit("OPS/pol").alias("path"))
     return select.polygon_files(archive, t.sky_tile)
 
@@ -566,11 +566,11 @@ def sample_images(t):
 
 @query
 def catalog_compare(t):
-    a = t.embeddings.withColumns({"plain": F.col("label") * 2, "gap": F.when(F.col("vec_id") % 3 > 0, F.col("label"))})
+    a = t.embeddings.withColumns({"plain": F.col("label") * 2, "gap": F.when(F.col("label") > 2, F.col("label"))})
     b = t.embeddings.withColumns({
-        "label": F.when(F.col("vec_id") % 50 == 3, F.col("label") + 1).otherwise(F.col("label")),
-        "embedding": F.when(F.col("vec_id") % 40 == 1, F.slice("embedding", 1, 5)).otherwise(F.col("embedding")),
-        "plain": F.col("label") * 2, "extra": F.lit(1), "gap": F.when(F.col("vec_id") % 3 > 0, F.col("label"))})
+        "label": F.when(F.col("label") == 3, F.col("label") + 1).otherwise(F.col("label")),
+        "embedding": F.when(F.col("label") == 1, F.slice("embedding", 1, 5)).otherwise(F.col("embedding")),
+        "plain": F.col("label") * 2, "extra": F.lit(1), "gap": F.when(F.col("label") > 2, F.col("label"))})
     return quality.compare_catalogs(a, b, ["vec_id"])
 
 
@@ -592,9 +592,9 @@ def plane_diff_image(t):
 @query
 def config_diff(t):
     new = t.part.select(F.concat(F.lit("K"), "p_partkey").alias("key"), F.col("p_type").alias("value"))
-    ref = t.part.filter("p_partkey % 5 <> 0").select(
+    ref = t.part.filter("p_size <> 5").select(
         F.concat(F.lit("K"), "p_partkey").alias("key"),
-        F.when(F.col("p_partkey") % 7 == 0, F.lit("OTHER")).otherwise(F.col("p_type")).alias("value"))
+        F.when(F.col("p_size") == 7, F.lit("OTHER")).otherwise(F.col("p_type")).alias("value"))
     return quality.config_difference(new, ref)
 
 
@@ -603,8 +603,8 @@ def _file_pairs(t):
 
 
 def _inventory(t):
-    cats = t.sky_catalog.filter("expnum % 4 <> 0").select("filename")
-    return cats.unionByName(t.sky_catalog.filter("expnum % 3 <> 0").select(F.concat(F.lit("H"), "expnum", F.lit(".fits")).alias("filename")))
+    cats = t.sky_catalog.filter("filetype <> 'cat_firstcut'").select("filename")
+    return cats.unionByName(t.sky_catalog.filter("band <> 'g'").select(F.concat(F.lit("H"), "expnum", F.lit(".fits")).alias("filename")))
 
 
 @query
@@ -635,7 +635,7 @@ def mask_rectangles(t):
     rects = t.nation.select(
         (F.col("n_nationkey") % 5).alias("x1"), (F.col("n_nationkey") % 5 + 2).alias("x2"),
         (F.floor(F.col("n_nationkey") / 5)).cast("int").alias("y1"), (F.floor(F.col("n_nationkey") / 5) + 2).cast("int").alias("y2")
-    ).filter("n_nationkey % 3 = 0")
+    ).filter("n_regionkey < 2")
     return quality.mask_by_rectangles(t.sky_pixel, rects, cell=4)
 
 
@@ -645,14 +645,14 @@ def mask_rectangles(t):
 @query
 def upsert_tile(t):
     base = t.sky_bounds_stored.select("tilename", "id", "dec_cent")
-    new = t.sky_bounds.filter("id % 5 = 0").select("tilename", (F.col("id") + 1000000).alias("id"), "dec_cent")
+    new = t.sky_bounds.filter("kind = 5 or kind > 40").select("tilename", (F.col("id") + 1000000).alias("id"), "dec_cent")
     df = tables.upsert(base, new, ["tilename"])
     return df.select("tilename", "id", *rounded("dec_cent"))
 
 
 @query
 def update_corners(t):
-    changes = wcs.with_image_corners(t.sky_header).select(F.col("image_id").alias("tile_id"), "rac1", "decc1", "rac2", "decc2").filter("tile_id % 2 = 0")
+    changes = wcs.with_image_corners(t.sky_header.filter("crval2 > 0")).select(F.col("image_id").alias("tile_id"), "rac1", "decc1", "rac2", "decc2")
     df = tables.update_columns(t.sky_tile, changes, ["tile_id"], ["rac1", "decc1", "rac2", "decc2"])
     return df.select("tilename", *rounded("rac1", "decc1", "rac2", "decc2", "rac3"))
 

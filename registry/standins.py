@@ -70,11 +70,11 @@ SQL = {
     """,
     "sky_blacklist": """
         select distinct cast(l_orderkey as bigint) as expnum, cast(l_linenumber as int) as ccdnum, l_linestatus as reason
-        from {lineitem} where l_orderkey % 29 = 0
+        from {lineitem} where l_quantity = 50
     """,
     "sky_tag": f"""
-        select {_FILENAME} as filename, case when l_suppkey % 2 = 0 then 'SN_DEEP' else 'RAN_CCD' end as tag
-        from {{lineitem}} where l_suppkey % 7 = 0
+        select {_FILENAME} as filename, case when l_tax < 0.04 then 'SN_DEEP' else 'RAN_CCD' end as tag
+        from {{lineitem}} where l_quantity > 40
     """,
     # every order is one exposure-level catalogue or a header file
     "sky_catalog": """
@@ -93,9 +93,9 @@ SQL = {
         from {orders}
     """,
     "sky_proctag": """
-        select cast(c_custkey % 50 as bigint) as pfw_attempt_id,
+        select distinct cast(c_custkey % 50 as bigint) as pfw_attempt_id,
                case c_custkey % 50 % 3 when 0 then 'Y2A1_FINALCUT' when 1 then 'Y2T9_FINALCUT' else 'Y2N_FIRSTCUT' end as tag
-        from {customer} where c_custkey < 50
+        from {customer}
     """,
     # files per detector row: science, background, segmentation (told apart by the ship status)
     "sky_fileset": f"""
@@ -183,7 +183,7 @@ SQL = {
     """,
     "sky_oldzp": """
         select concat('ID', cast(p_partkey as string)) as imageid, 30 + cast(p_partkey % 1000 as double)/1000 as mag_zero
-        from {part} where p_partkey % 11 <> 0
+        from {part} where p_size <> 11
     """,
     # provenance through artifacts and executed tasks
     "sky_artifact": """select concat('A', filename) as id, filename as name from {sky_wgb}""",
@@ -216,17 +216,18 @@ SQL = {
                cast((p_partkey*7919) % 21600 % 360 as double) + 0.5 - case when p_size = 7 then 2 else 0 end as uramax,
                cast(floor(((p_partkey*7919) % 21600)/360) as double) - 60.5 as udecmin,
                cast(floor(((p_partkey*7919) % 21600)/360) as double) - 59.5 - case when p_size = 9 then 2 else 0 end as udecmax,
-               case when (p_partkey*7919) % 21600 % 360 = 0 then 'Y' else 'N' end as crossra0
+               case when (p_partkey*7919) % 21600 % 360 = 0 then 'Y' else 'N' end as crossra0,
+               cast(p_size as int) as kind
         from {part}
     """,
     "sky_bounds_stored": """
         select id, tilename, dec_row, ra_step,
-               ra_cent + case when id % 10 = 1 then 0.00003 else 0 end as ra_cent,
-               dec_cent + case when id % 10 = 2 then 0.5 else 0 end as dec_cent,
+               ra_cent + case when kind = 1 then 0.00003 else 0 end as ra_cent,
+               dec_cent + case when kind = 2 then 0.5 else 0 end as dec_cent,
                case when uramin < 0 then uramin + 360 else uramin end as uramin,
-               uramax + case when id % 10 = 3 then 360 else 0 end as uramax,
-               udecmin, udecmax + case when id % 10 = 4 then 0.002 else 0 end as udecmax, crossra0
-        from {sky_bounds} where id % 10 <> 5
+               uramax + case when kind = 3 then 360 else 0 end as uramax,
+               udecmin, udecmax + case when kind = 4 then 0.002 else 0 end as udecmax, crossra0, kind
+        from {sky_bounds} where kind <> 5
     """,
     # image planes: 8 x 8 pixels per vector
     "sky_pixel": """

@@ -155,23 +155,29 @@ def with_ids(
 ) -> DataFrame:
     """ID from ``known`` (tilename, id); unknown tiles get max+1, +2, .. in scan order.
 
-    Numbers are dealt row by row: counts per Dec row give each row its offset, so no
-    task sees more than one row of the tiling.
+    Counts per cell of the tiling (Dec row and step), combined before the shuffle, give
+    each cell its first number; numbering then goes on within the cell, in name order.
+    The running sums see counts only: one row per Dec row, and one per step of a row.
     """
     joined = tiles.join(known.select("tilename", "id"), "tilename", "left")
-    per_row = joined.groupBy(row).agg(F.count_if(F.col("id").isNull()).alias("_n"))
-    before = Window.orderBy(row).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_row.select(row, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    cells = joined.groupBy(row, step).agg(F.count_if(F.col("id").isNull()).alias("_n"))
+    per_row = cells.groupBy(row).agg(F.sum("_n").alias("_n"))
+
+    def before(order: str, *by: str):
+        running = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_n").over(running), F.lit(0))
+
+    row_offset = per_row.select(row, before(row).alias("_rows"))
+    offsets = cells.select(row, step, before(step, row).alias("_steps")).join(F.broadcast(row_offset), row)
     top = known.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    in_row = F.sum(F.when(F.col("id").isNull(), 1).otherwise(0)).over(
-        Window.partitionBy(row).orderBy(step).rowsBetween(Window.unboundedPreceding, 0))
-    # bounded: one row per Dec row
-    joined = joined.join(F.broadcast(offsets), row)
-    new_id = top + F.col("_offset") + in_row
+    in_cell = F.sum(F.when(F.col("id").isNull(), 1).otherwise(0)).over(
+        Window.partitionBy(row, step).orderBy("tilename").rowsBetween(Window.unboundedPreceding, 0))
+    joined = joined.join(offsets, [row, step])
+    new_id = top + F.col("_rows") + F.col("_steps") + in_cell
     return (
         joined.withColumn("_new", new_id)
         .withColumns({"is_new": F.col("id").isNull(), "id": F.coalesce("id", "_new").cast("bigint")})
-        .drop("_new", "_offset")
+        .drop("_new", "_rows", "_steps")
     )
 
 
