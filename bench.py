@@ -14,7 +14,7 @@ HEADLINE = [
     "tile_inputs_distance", "tile_inputs_wrap", "tile_inputs_corners", "tile_inputs_any_corner",
     "inputs_per_tile_band", "coadd_inputs_per_tile_band", "catalogs_of_exposures",
     "build_images", "build_images_3plane", "provenance_3key", "zeropoint_backfill",
-    "tiling_grid", "tiling_home_tiles", "wcs_corners", "hpix_assign",
+    "tiling_grid", "tiling_home_tiles", "survey_inputs_per_tile", "wcs_corners", "hpix_assign",
     "depth_fractions", "band_lists", "sample_exposures", "sample_images",
     "plane_diff", "mask_rectangles", "constraint_violations",
 ]

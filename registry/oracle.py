@@ -296,7 +296,7 @@ _last = "ra_step = n - 1"
 _corner = {1: (f"{HALF}", f"-{HALF}"), 2: (f"-{HALF}", f"-{HALF}"), 3: (f"-{HALF}", f"{HALF}"), 4: (f"{HALF}", f"{HALF}")}
 CORNERS = ", ".join(
     f"{tan_ra(u, v, 'ra_cent', 'dec_cent')} as rac{k}, {tan_dec(u, v, 'dec_cent')} as decc{k}" for k, (u, v) in _corner.items())
-tiling("tiling_grid", "-85", f"""
+SIZED = f"""
 , tiles as (select *, {tile_name()} as tilename,
     case when ra_run - step/2 > 360 then ra_run - step/2 - 360 else ra_run - step/2 end as ural,
     case when {_last} then 275.0 - step/2 when ra_run + step/2 > 360 then ra_run + step/2 - 360 else ra_run + step/2 end as urau,
@@ -305,6 +305,8 @@ flagged as (select *, case when abs(urau - ural) > 2*{WIDTH}/cos(radians(dec_cen
 sized as (select *,
     case when crossra0 = 'Y' then greatest(rac1, rac2, rac3, rac4) else least(rac1, rac2, rac3, rac4) end as racmin,
     case when crossra0 = 'Y' then least(rac1, rac2, rac3, rac4) else greatest(rac1, rac2, rac3, rac4) end as racmax from flagged)
+"""
+tiling("tiling_grid", "-85", SIZED + f"""
 select s.tilename, s.dec_row, cast(s.ra_step as int) as ra_step, s.crossra0, c.n_images,
   {r('ra_cent', 'ra_cent')}, {r('dec_cent', 'dec_cent')}, {r('rac1', 'rac1')}, {r('rac2', 'rac2')}, {r('decc1', 'decc1')}, {r('decc3', 'decc3')},
   {r('racmin', 'racmin')}, {r('racmax', 'racmax')},
@@ -313,6 +315,15 @@ select s.tilename, s.dec_row, cast(s.ra_step as int) as ra_step, s.crossra0, c.n
   {r('ural', 'uramin')}, {r('urau', 'uramax')}, {r(f'dec_cent - ({WIDTH} - ov)/2', 'udecmin')}, {r(f'dec_cent + ({WIDTH} - ov)/2', 'udecmax')}
 from sized s join counts c on c.dec_row = s.dec_row and c.ra_step = s.ra_step""")
 
+_ra_size = "case when s.crossra0 = 'Y' then abs(s.racmax - (s.racmin - 360)) else abs(s.racmax - s.racmin) end"
+tiling("survey_inputs_per_tile", "-85", SIZED + f"""
+, near_rows as (select i.*, g.dec_row from sky_image i join dec_rows g on abs(i.dec_cent - g.dec_cent) < 2)
+select s.tilename, i.band, count(*) as nima, count(distinct i.expnum) as nexp
+from near_rows i join sized s on s.dec_row = i.dec_row
+ and least(abs(i.ra_cent - s.ra_cent), 360.0 - abs(i.ra_cent - s.ra_cent)) < 0.5*({_ra_size}) + 0.5*i.ra_size
+ and abs(i.dec_cent - s.dec_cent) < 0.5*(greatest(s.decc1, s.decc2, s.decc3, s.decc4) - least(s.decc1, s.decc2, s.decc3, s.decc4)) + 0.5*i.dec_size
+group by s.tilename, i.band""")
+
 _up, _low = f"({WIDTH}/cos(radians(dec_cent + {WIDTH}/2))/2)", f"({WIDTH}/cos(radians(dec_cent - {WIDTH}/2))/2)"
 _past = f"least(ra_run - {_up}, ra_run - {_low}, ra_run - step/2, ra_run + {_up}, ra_run + {_low}, ra_run + step/2) > 360"
 _flat = {n: f"case when {_past} then {x} - 360 else {x} end" for n, x in {

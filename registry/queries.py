@@ -299,6 +299,13 @@ def tiling_grid(t):
         *rounded("ra_cent", "dec_cent", "rac1", "rac2", "decc1", "decc3", "racmin", "racmax", "ra_size", "dec_size", "uramin", "uramax", "udecmin", "udecmax"))
 
 
+@query
+def survey_inputs_per_tile(t):
+    images = t.sky_image.select("band", "expnum", "ra_cent", "dec_cent", "ra_size", "dec_size")
+    pairs = overlap.overlap_join(images, tiling.sky_tiling(images.sparkSession))
+    return stats.inputs_per_tile_band(pairs)
+
+
 @query
 def tiling_flat_corners(t):
     counts = _home_counts(t)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CORNERS = (1, 2, 3, 4)
@@ -128,3 +128,13 @@ def in_sky_window(ra, dec, ra1, ra2, dec1, dec2, margin: float = 0.0) -> Column:
 
 def any_of(conditions) -> Column:
     return reduce(lambda a, b: a | b, conditions)
+
+
+def settle(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns as the output of a generator.
+
+    Filters on them then stay above: pushed below, they would repeat the whole formula,
+    once for every place where it is used.
+    """
+    others = [c for c in df.columns if c not in columns]
+    return df.select(*others, F.inline(F.array(F.struct(*[v.alias(n) for n, v in columns.items()]))))
