@@ -411,9 +411,9 @@ def long_name(ra: str, dec: str) -> str:
     return f"concat('DESJ', {with_seconds(f'({ra} / 15.0)')}, case when {dec} < 0 then '-' else '+' end, {with_seconds(f'abs({dec})')})"
 
 
-_custom = {k: (f"({'-' if k in (1, 4) else ''}(-0.263::double/3600.0)*((naxis1 - 1)/2.0))" if False else
-               f"({'1' if k in (1, 4) else '-1'}*0.263::double/3600.0*(naxis1 - 1)/2.0)",
-               f"({'-1' if k in (1, 2) else '1'}*0.263::double/3600.0*(naxis2 - 1)/2.0)") for k in (1, 2, 3, 4)}
+_custom = {
+    k: (f"({'1' if k in (1, 4) else '-1'}*0.263::double/3600.0*(naxis1 - 1)/2.0)",
+        f"({'-1' if k in (1, 2) else '1'}*0.263::double/3600.0*(naxis2 - 1)/2.0)") for k in (1, 2, 3, 4)}
 _custom_corners = ", ".join(f"{tan_ra(u, v, 'crval1', 'crval2')} as rac{k}, {tan_dec(u, v, 'crval2')} as decc{k}" for k, (u, v) in _custom.items())
 sql("custom_tiles", "sky_header", f"""
 , c as (select image_id, crval1, crval2, cast(floor((10.0 + image_id % 50) / (0.263::double/60.0)) as int) as naxis1,

@@ -72,3 +72,12 @@ def test_compare_tiles(spark, tiles):
     assert [r["reason"] for r in rows] == ["udec", "udec"]
     assert tiling.compare_tiles(some, moved, tolerance=1e-3, scale_ra=False).count() == 0
     assert tiling.compare_tiles(some, some.filter("ra_step > 0")).filter("reason = 'missing'").count() == 2
+
+
+def test_filters_stay_above_the_projection(spark):
+    """A filter on derived columns does not repeat the projection's formulas."""
+    df = tiling.sky_tiling(spark, tiling.TilingPlan(dec_end=20.0)).filter("ra_size > 180 or racmax < 1")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    conditions = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
+    assert not any("ATAN2" in c for c in conditions)
+    assert df.count() > 0
