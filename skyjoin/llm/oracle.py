@@ -1,3 +1,119 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+import string
+
+from skyjoin.llm import mixing, quality
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+#: Links of all pairs that share a shingle, then the smallest doc_id reachable.
+NEAR_DUPLICATES = f"""
+with recursive texts as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{WORD}') as w from documents
+), grams as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as g from texts
+), sizes as (select doc_id, count(*) as n from grams group by 1),
+pairs as (
+  select a.doc_id as a, b.doc_id as b, count(*) as common from grams a join grams b using (g) where a.doc_id < b.doc_id group by 1, 2
+), links as (
+  select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * common >= 80 * (x.n + y.n - common)
+), both_ways as (select a, b from links union select b, a from links),
+reach(doc_id, other) as (
+  select doc_id, doc_id from documents union select r.doc_id, l.b from reach r join both_ways l on l.a = r.other
+)
+select doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(other) as component_id, min(other) = doc_id as kept
+from reach left join sizes using (doc_id) group by doc_id
+"""
+
+#: Every word window by its words; the words left, in order.
+SUBSTRINGS = f"""
+with texts as (select doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') as w from documents),
+windows as (
+  select doc_id, unnest(range(1, len(w) - 11)) as i, unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))) as g from texts where len(w) >= 13
+), firsts as (select g, min(doc_id) as low from windows group by g),
+gone as (select distinct doc_id, unnest(range(i, i + 13)) as i from windows join firsts using (g) where low < doc_id),
+words as (select doc_id, unnest(range(1, len(w) + 1)) as i, unnest(w) as word from texts),
+left_over as (
+  select w.doc_id, count(*) as n, string_agg(w.word, ' ' order by w.i) as kept from words w anti join gone g on g.doc_id = w.doc_id and g.i = w.i group by 1
+)
+select t.doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from texts t left join left_over l using (doc_id)
+"""
+
+MIX = f"""
+with sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::bigint as size, md5('{mixing.SEED}:' || coalesce(doc_id::varchar, '')) as drawn from documents
+), sources as (
+  select source, sum(size)::bigint as source_size, (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight from sized group by source
+), totals as (select sum(source_size)::bigint as total from sources),
+levels as (
+  select *, row_number() over (order by source_size / weight, source nulls last) as room,
+    (total - coalesce(sum({mixing.MOST} * source_size) over (order by source_size / weight, source nulls last rows between unbounded preceding and 1 preceding), 0))::double
+    / sum(weight) over (order by source_size / weight, source nulls last rows between current row and unbounded following)::double as level
+  from sources, totals
+), cut as (select min(room) as room, arg_min(level, room) as level from levels where level * weight <= {mixing.MOST} * source_size),
+targets as (
+  select source, source_size, total, greatest(ceil(total / {mixing.BLOCKS}), 1)::bigint as block_size,
+    case when l.room >= c.room then c.level * weight else {mixing.MOST}.0 * source_size end as target
+  from levels l, cut c
+), bids as (
+  select source, target, ceil(total / block_size)::bigint as all_blocks, unnest(range(0, ceil(target / block_size)::bigint + 2)) as held from targets where target > 0
+), seats as (
+  select source, all_blocks, row_number() over (order by target / (2 * held + 1) desc, source nulls last, held) as seat from bids
+), quotas as (select source, count(*) as quota from seats where seat <= all_blocks group by source),
+gives as (
+  select t.source, source_size, block_size, target, least(coalesce(quota, 0) * block_size, {mixing.MOST} * source_size) as gives
+  from targets t left join quotas q on t.source is not distinct from q.source
+), plans as (
+  select *, case when source_size > 0 then gives // source_size else 0 end as passes, case when source_size > 0 then gives % source_size else 0 end as rest from gives
+), numbers as (
+  select source, source_size, block_size, rest, unnest(range(0, (source_size - 1) // block_size + 1)) as block from plans where source_size > 0
+), met as (
+  select *, least(block_size, source_size - block * block_size) as words,
+    sum(least(block_size, source_size - block * block_size)) over (
+      partition by source order by md5('{mixing.SEED}:' || coalesce(source, '') || ':' || block), block rows unbounded preceding) as upto from numbers
+), chosen as (select source, block * block_size as low, block * block_size + words as high from met where upto - words / 2 <= rest),
+placed as (
+  select doc_id, source, size, sum(size) over (partition by source order by drawn, doc_id, size rows unbounded preceding) as stop from sized
+), extra as (
+  select doc_id, p.source, size, stop, sum(greatest(0, least(stop, high) - greatest(stop - size, low))) as words
+  from placed p join chosen c on p.source is not distinct from c.source and low < stop and high > stop - size group by all
+)
+select p.doc_id, p.size, l.source_size, l.target, (l.passes * p.size + coalesce(e.words, 0))::bigint as taken
+from placed p join plans l on p.source is not distinct from l.source
+left join extra e on e.doc_id is not distinct from p.doc_id and e.source is not distinct from p.source and e.stop = p.stop and e.size = p.size
+"""
+
+#: Repeats of a text are runs along diagonals: starts i < j of equal windows with the same j - i.
+QUALITY = f"""
+with texts as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '{WORD}') as w from documents),
+windows as (
+  select doc_id, unnest(range(1, len(w) - 3)) as i, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as g from texts where len(w) >= 5
+), again as (select doc_id, g, i, lag(i) over (partition by doc_id, g order by i) as before, count(*) over (partition by doc_id, g) as n from windows),
+covered as (select doc_id, count(*) as n, sum(len(word)) as chars from (select distinct a.doc_id, unnest(range(i, i + 5)) as i from again a where n > 1) c
+  join (select doc_id, unnest(range(1, len(w) + 1)) as i, unnest(w) as word from texts) using (doc_id, i) group by 1),
+pairs as (select a.doc_id, a.i, b.i - a.i as gap from windows a join windows b on a.doc_id = b.doc_id and a.g = b.g and a.i < b.i),
+runs as (select doc_id, gap, i - row_number() over (partition by doc_id, gap order by i) as run from pairs),
+longest as (select doc_id, max(n) + 4 as words from (select doc_id, gap, run, count(*) as n from runs group by all) group by 1),
+lines as (
+  select doc_id, count(*) - count(distinct line) as n from (select doc_id, unnest(string_split(text, chr(10))) as line from texts) where regexp_matches(line, '{WORD}') group by 1
+), counts as (
+  select t.doc_id, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: len(x))), 0)::bigint as word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols, coalesce(l.n, 0)::bigint as n_dup_lines, coalesce(c.n, 0)::bigint as n_repeat_words,
+    coalesce(c.chars, 0)::bigint as repeat_chars, coalesce(g.words, 0)::bigint as longest_repeat
+  from texts t left join lines l using (doc_id) left join covered c using (doc_id) left join longest g using (doc_id)
+)
+select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+  not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and repeat_chars / greatest(word_chars, 1) <= {quality.MOST_COVERED} and longest_repeat <= {quality.MOST_WORDS} as kept
+from counts
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_near_duplicates": NEAR_DUPLICATES,
+    "op4_substring_dedup": SUBSTRINGS,
+    "op6_source_mix": MIX,
+    "op8_quality_rules": QUALITY,
+}
