@@ -38,7 +38,7 @@ def terms(text: str) -> Column:
 def scan(files: DataFrame, stage: Stage, *, templates: list[tuple[str, str]] = TEMPLATES, least_cosine: float = LEAST_COSINE, least_terms: int = LEAST_TERMS) -> DataFrame:
     """doc_id, path, own_licence, score, licence, licence_path for each row of files (doc_id, path, text).
 
-    A file named in FILE_NAMES is compared as a whole, any other line by line. Vectors hold term count times
+    Files are compared line by line, one named in FILE_NAMES as a whole too. Vectors hold term count times
     ln((1 + files) / (1 + files with the term)) + 1; terms that no template has count as terms of no file.
     own_licence is the template of the highest cosine, if that is least_cosine or more and both share at
     least_terms distinct terms; ties go to the first identifier. Without one, licence comes from the nearest
@@ -65,7 +65,7 @@ def scan(files: DataFrame, stage: Stage, *, templates: list[tuple[str, str]] = T
     lines = rows.select("row", F.coalesce(F.upper(name).isin(*FILE_NAMES), F.lit(False)).alias("whole"), F.posexplode(F.split("text", "\n")).alias("line", "text"))
     lines = lines.withColumn("terms", terms("text")).withColumn("known", F.array_intersect("terms", words))
     lines = stage.write(lines.where("size(known) > 0 OR whole").select(
-        "row", F.when(F.col("whole"), F.lit(-1)).otherwise(F.col("line")).alias("unit"), "terms", "known").distinct(), "lines")
+        "row", F.explode(F.when(F.col("whole"), F.array(F.lit(-1), "line")).otherwise(F.array("line"))).alias("unit"), "terms", "known").distinct(), "lines")
 
     total = files.count()
     frequency = lines.select("row", F.explode("known").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("df"))
