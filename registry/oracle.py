@@ -44,7 +44,7 @@ from sky_image i join sky_zeropoint z on {ZP} join sky_tile t on {NEAR}
 where i.tag in ('Y2A1_FINALCUT', 'Y2T9_FINALCUT') and {NOT_BLACK}""")
 
 sql("tile_inputs_wrap", "sky_image sky_tile", f"""
-select {OUT}, {r(fold('i.ra_cent'), 'ra_cent')}, {r(fold('i.rac1'), 'rac1')}, {r(fold('i.rac3'), 'rac3')}, {r('i.dec_cent', 'dec_cent')}
+select {OUT}, {r(fold('i.ra_cent'), 'ra_cent')}, {r(fold('i.rac1'), 'rac1')}, {r(fold('i.rac3'), 'rac3')}, {r(fold('i.racmin'), 'racmin')}, {r(fold('i.racmax'), 'racmax')}, {r('i.dec_cent', 'dec_cent')}
 from sky_image i join sky_tile t on t.crossra0 = 'Y'
  and abs({fold('i.ra_cent')} - {fold('t.ra_cent')}) < 0.5*t.ra_size + 0.5*i.ra_size
  and abs(i.dec_cent - t.dec_cent) < 0.5*t.dec_size + 0.5*i.dec_size""")
@@ -91,14 +91,27 @@ select filename, expnum, ccdnum from sky_image where filename not in
 
 PAIRS = f", pairs as (select {OUT}, i.tag from sky_image i join sky_tile t on {NEAR})\n"
 
+sql("inputs_of_one_tile", "sky_image", """
+select filename, band, expnum, ccdnum from sky_image
+where abs(case when ra_cent > 180 then ra_cent - 360.0625 else ra_cent - 0.0625 end) < 0.5 + 0.5*ra_size and abs(dec_cent + 29.46875) < 0.5 + 0.5*dec_size""")
+sql("tile_inputs_by_file", "sky_image sky_tile", PAIRS + """
+select tilename, band, filename, row_number() over (order by tilename, band, filename) as position from pairs""")
+sql("images_by_ra", "sky_image", """
+select ra_cent, band, filename, row_number() over (order by ra_cent, band, filename) as position from sky_image""")
+sql("tile_inputs_by_detector", "sky_image sky_tile", PAIRS + """
+select ccdnum, tilename, filename, row_number() over (order by ccdnum, tilename, filename) as position from pairs""")
+
 sql("inputs_per_tile_band", "sky_image sky_tile", PAIRS + """
 select tilename, band, count(*) as nima, count(distinct expnum) as nexp from pairs group by tilename, band""")
 
-COADD_INPUTS = """
-select c.tilename, c.band, count(distinct s.src_imageid) as n_inputs
-from sky_coadd_src s, sky_coadd c
-where s.coadd_imageid = c.id and c.run in (select run from sky_run where tag = '{tag}') and c.imagename not like '%_det.fits'
-group by c.tilename, c.band"""
+FINAL_COADDS = "sky_coadd c where not ends_with(imagename, '_det.fits')"
+COADD_INPUTS = f"""
+select tilename, band, count(*) as n_inputs
+from (select distinct k.tilename, k.band, src_imageid
+      from (select id as coadd_imageid, tilename, band from {FINAL_COADDS}
+            and exists (select 1 from sky_run where sky_run.run = c.run and tag = '{{tag}}')) k
+      join sky_coadd_src using (coadd_imageid)) one_each
+group by all"""
 sql("coadd_inputs_per_tile_band", "sky_coadd sky_coadd_src sky_run", COADD_INPUTS.format(tag="Y1A1_COADD_STRIPE82"))
 sql("inputs_mean_median_by_band", "sky_coadd sky_coadd_src sky_run", f"""
 select band, count(*) as n_tiles, round(avg(n_inputs), 6) as mean_inputs, median(n_inputs) as median_inputs,
@@ -123,10 +136,11 @@ select filename, case when greatest(rac1, rac3) - least(rac1, rac3) > 180 then '
 sql("catalogs_of_exposures", "sky_image sky_tile sky_catalog", PAIRS + """
 select p.tilename, c.filename, c.path, c.band, c.ccdnum, c.expnum
 from (select distinct tilename, expnum from pairs) p join sky_catalog c on c.expnum = p.expnum""")
-SCAMP = """select distinct c.filename as filename_scampcat, m.filename as filename_scamphead, a.path, c.pfw_attempt_id, c.expnum, c.band
-from sky_archive a, sky_miscfile m, sky_proctag g, sky_catalog c
-where a.filename = c.filename and c.pfw_attempt_id = g.pfw_attempt_id and m.pfw_attempt_id = g.pfw_attempt_id
-  and m.filetype = 'head_scamp_full' and c.filetype = 'cat_scamp_full' and m.expnum = c.expnum and g.tag = '{tag}'"""
+SCAMP = """select distinct filename_scampcat, filename_scamphead, path, pfw_attempt_id, expnum, band
+from (select filename as filename_scampcat, band, expnum, pfw_attempt_id from sky_catalog c where filetype = 'cat_scamp_full'
+      and exists (select 1 from sky_proctag p where p.tag = '{tag}' and p.pfw_attempt_id = c.pfw_attempt_id)) cats
+join (select filename as filename_scamphead, expnum, pfw_attempt_id from sky_miscfile where filetype = 'head_scamp_full') heads using (expnum, pfw_attempt_id)
+join (select filename as filename_scampcat, path from sky_archive) places using (filename_scampcat)"""
 sql("exposure_catalogs", "sky_image sky_tile sky_catalog sky_miscfile sky_archive sky_proctag", PAIRS + f"""
 select filename_scampcat, filename_scamphead, path, band, expnum from ({SCAMP.format(tag='Y2A1_FINALCUT')}) s
 where expnum in (select expnum from pairs)""")
@@ -169,54 +183,71 @@ def hpix(rows: str, nside: int, name: str) -> str:
     from (select *, sin(radians(dec_cent)) as z, ra_cent / 90.0 as tt from {rows}) h1) h2) h3) h4)"""
 
 
-GEOMETRY_JOIN = """select i.filename, a.compression, a.path, i.pfw_attempt_id, i.band, i.ccdnum, i.expnum, i.crossra0,
-  round(case when i.crossra0 = 'Y' then abs(i.racmax - (i.racmin - 360)) else abs(i.racmax - i.racmin) end, 6) as ra_size,
-  round(abs(i.deccmax - i.deccmin), 6) as dec_size, i.ra_cent, i.dec_cent
-from sky_proctag g, sky_image i, sky_archive a
-where a.filename = i.filename and i.pfw_attempt_id = g.pfw_attempt_id and g.tag = 'Y2T9_FINALCUT'"""
+GEOMETRY_JOIN = """select i.filename, places.compression, places.path, i.pfw_attempt_id, i.band, i.ccdnum, i.expnum, i.crossra0,
+  round(case when i.crossra0 = 'Y' then 360 - i.racmin + i.racmax else i.racmax - i.racmin end, 6) as ra_size,
+  round(i.deccmax - i.deccmin, 6) as dec_size, i.ra_cent, i.dec_cent
+from (select * from sky_image semi join (select pfw_attempt_id from sky_proctag where tag = 'Y2T9_FINALCUT') tagged using (pfw_attempt_id)) i
+join (select filename, compression, path from sky_archive) places using (filename)"""
 sql("build_images", "sky_image sky_archive sky_proctag", f"select * exclude (ra_cent, dec_cent) from {hpix('(' + GEOMETRY_JOIN + ') b', 32, 'hpix_32')} x")
-sql("build_images_3plane", "sky_fileset sky_segmap sky_archive sky_attempt", """
-select red.pfw_attempt_id, red.ccdnum, red.filename, red.band, red.expnum, fr.compression, fr.path,
-       bkg.filename as filename_bkg, fb.compression as compression_bkg, fb.path as path_bkg,
-       seg.filename as filename_seg, fs.compression as compression_seg, fs.path as path_seg
-from sky_attempt g, sky_fileset red, sky_fileset bkg, sky_segmap seg, sky_archive fr, sky_archive fb, sky_archive fs
-where fr.filename = red.filename and fb.filename = bkg.filename and fs.filename = seg.filename
-  and red.pfw_attempt_id = g.pfw_attempt_id and bkg.pfw_attempt_id = g.pfw_attempt_id and seg.pfw_attempt_id = g.pfw_attempt_id
-  and red.filetype = 'red_immask' and bkg.filetype = 'red_bkg' and seg.filetype = 'red_segmap'
-  and red.ccdnum = bkg.ccdnum and bkg.ccdnum = seg.ccdnum and g.tag = 'Y2T9_FINALCUT'""")
+
+
+def _plane(table: str, filetype: str, suffix: str, more: str = "") -> str:
+    """Files of one type whose attempt is tagged, with their places."""
+    return f"""(select pfw_attempt_id, ccdnum, filename as filename{suffix}, compression as compression{suffix}, path as path{suffix}{more}
+  from (select * from {table} where filetype = '{filetype}') semi join tagged using (pfw_attempt_id) join located using (filename))"""
+
+
+sql("build_images_3plane", "sky_fileset sky_segmap sky_archive sky_attempt", f"""
+, tagged as (select pfw_attempt_id from sky_attempt where tag = 'Y2T9_FINALCUT'),
+located as materialized (select filename, compression, path from sky_archive)
+select * from {_plane('sky_fileset', 'red_immask', '', ', band, expnum')} science
+join {_plane('sky_fileset', 'red_bkg', '_bkg')} background using (pfw_attempt_id, ccdnum)
+join {_plane('sky_segmap', 'red_segmap', '_seg')} segments using (pfw_attempt_id, ccdnum)""")
 sql("build_catalogs", "sky_catalog sky_archive sky_proctag", """
-select a.filename, a.path, c.pfw_attempt_id, c.band, c.ccdnum, c.expnum from sky_proctag g, sky_archive a, sky_catalog c
-where a.filename = c.filename and c.pfw_attempt_id = g.pfw_attempt_id and c.filetype = 'cat_finalcut' and g.tag = 'Y2A1_FINALCUT'""")
+select filename, places.path, pfw_attempt_id, band, ccdnum, expnum
+from (select * exclude (path) from sky_catalog c where filetype = 'cat_finalcut'
+      and exists (select 1 from sky_proctag p where p.tag = 'Y2A1_FINALCUT' and p.pfw_attempt_id = c.pfw_attempt_id)) cats
+join (select filename, path from sky_archive) places using (filename)""")
 sql("build_scampcats", "sky_catalog sky_miscfile sky_archive sky_proctag", SCAMP.format(tag="Y2N_FIRSTCUT"))
+PLACES = "(select filename, compression, path from sky_archive) places"
+
+
+def _made(tag: str, condition: str) -> str:
+    """Files made in a tagged run, with the run's three keys."""
+    return f"""(select filename, reqnum, unitname, attnum from sky_wgb w where {condition}
+  and exists (select 1 from sky_runtag g where g.tag = '{tag}' and (g.unitname, g.reqnum, g.attnum) = (w.unitname, w.reqnum, w.attnum))) made"""
+
+
 sql("provenance_3key", "sky_image sky_archive sky_wgb sky_runtag", f"""
-select i.filename, w.reqnum, w.unitname, w.attnum, a.compression, a.path, i.band, i.ccdnum, {r('i.ra_cent', 'ra_cent')}, {r('i.dec_cent', 'dec_cent')}
-from sky_wgb w, sky_runtag g, sky_image i, sky_archive a
-where a.filename = i.filename and a.filename = w.filename and w.filetype = 'red' and w.exec_name = 'immask'
-  and w.reqnum = g.reqnum and w.unitname = g.unitname and w.attnum = g.attnum and g.tag = 'Y2N_FIRSTCUT'""")
-sql("provenance_any_task", "sky_image sky_archive sky_wgb sky_runtag", """
-select i.filename from (select filename, reqnum, unitname, attnum from sky_wgb where filetype = 'red') w
-join (select reqnum, unitname, attnum from sky_runtag where tag = 'Y2T3_FINALCUT') g
-  on w.reqnum = g.reqnum and w.unitname = g.unitname and w.attnum = g.attnum
-join sky_archive a on a.filename = w.filename join sky_image i on a.filename = i.filename""")
-sql("provenance_artifacts", "sky_image sky_archive sky_wgb sky_artifact sky_generated sky_exec sky_exectag", """
-select f.filename, f.compression, f.path, e.unitname, e.reqnum, e.attnum, i.band, i.ccdnum
-from sky_archive f, sky_image i, sky_wgb g, sky_artifact a, sky_generated w, sky_exec e, sky_exectag p
-where f.filename = i.filename and g.filename = f.filename and g.filename like '%_2_%.fits' and g.filetype = 'red'
-  and a.name = g.filename and w.opm_artifact_id = a.id and e.task_id = w.task_id
-  and p.reqnum = e.reqnum and p.unitname = e.unitname and p.attnum = e.attnum and p.tag = 'Y2N_FIRSTCUT'""")
+select filename, reqnum, unitname, attnum, compression, path, band, ccdnum, ra_cent, dec_cent
+from (select filename, band, ccdnum, {r('ra_cent', 'ra_cent')}, {r('dec_cent', 'dec_cent')} from sky_image) images
+join {_made('Y2N_FIRSTCUT', "exec_name = 'immask' and filetype = 'red'")} using (filename) join {PLACES} using (filename)""")
+sql("provenance_any_task", "sky_image sky_archive sky_wgb sky_runtag", f"""
+select filename from (select filename from sky_image) images
+join {_made('Y2T3_FINALCUT', "filetype = 'red'")} using (filename) join {PLACES} using (filename)""")
+sql("provenance_artifacts", "sky_image sky_archive sky_wgb sky_artifact sky_generated sky_exec sky_exectag", f"""
+, tasks as (
+ select task_id, reqnum, unitname, attnum from sky_exec e
+ where exists (select 1 from sky_exectag p where p.tag = 'Y2N_FIRSTCUT' and (p.unitname, p.reqnum, p.attnum) = (e.unitname, e.reqnum, e.attnum))),
+products as (
+ select filename, reqnum, unitname, attnum
+ from (select id as opm_artifact_id, name as filename from sky_artifact) artifacts join sky_generated using (opm_artifact_id) join tasks using (task_id))
+select filename, compression, path, unitname, reqnum, attnum, band, ccdnum
+from products join (select filename from sky_wgb where filetype = 'red' and filename like '%_2_%.fits') wanted using (filename)
+join {PLACES} using (filename) join (select filename, band, ccdnum from sky_image) images using (filename)""")
 sql("runs_of_tile", "sky_location sky_run", """
-select distinct l.run, l.tilename, g.tag from sky_location l, sky_run g where g.tag like 'Y1A1_COADD%' and l.run = g.run""")
+select distinct run, tilename, tag from sky_location join (select run, tag from sky_run where starts_with(tag, 'Y1A1_COADD')) tagged using (run)""")
 LINEAGE = "sky_location sky_run sky_coadd sky_coadd_src sky_source sky_exposure"
-sql("coadd_lineage", LINEAGE, """
-select distinct c.run, e.id, e.exposurename, e.expnum, e.nite, e.band
-from (select distinct l.run from sky_location l, sky_run g where g.tag like 'Y1A1_COADD' and l.run = g.run) r
-join sky_coadd c on c.run = r.run and c.imagename not like '%_det.fits'
-join sky_coadd_src s on s.coadd_imageid = c.id join sky_source i on i.id = s.src_imageid join sky_exposure e on e.id = i.exposureid""")
-sql("coadd_lineage_of_run", LINEAGE, """
-select id, exposurename, expnum, nite, band from sky_exposure where id in (
- select exposureid from sky_source where id in (
-  select distinct src_imageid from sky_coadd_src where coadd_imageid in (
-   select distinct id from sky_coadd where run = 'run3' and imagename not like '%_det.fits')))""")
+sql("coadd_lineage", LINEAGE, f"""
+, located as (select distinct run from sky_location semi join (select run from sky_run where tag = 'Y1A1_COADD') tagged using (run)),
+coadds as (select run, id as coadd_imageid from (select * from {FINAL_COADDS}) final semi join located using (run)),
+inputs as (select distinct run, src_imageid as id from coadds join sky_coadd_src using (coadd_imageid)),
+exposures as (select distinct run, exposureid from inputs join sky_source using (id))
+select run, e.id, exposurename, expnum, nite, band from exposures join sky_exposure e on e.id = exposureid""")
+sql("coadd_lineage_of_run", LINEAGE, f"""
+, inputs as (select distinct src_imageid as id from (select id as coadd_imageid from {FINAL_COADDS} and run = 'run3') coadds join sky_coadd_src using (coadd_imageid)),
+exposures as (select distinct exposureid from inputs join sky_source using (id))
+select e.id, exposurename, expnum, nite, band from exposures join sky_exposure e on e.id = exposureid""")
 EXPOSURE_NAME = "concat('DECam_', lpad(cast(expnum as string), 8, '0'), '_', lpad(cast(ccdnum as string), 2, '0'), '.fits')"
 sql("zeropoint_backfill", "sky_image sky_oldfile sky_run sky_oldzp", f"""
 , old as (
@@ -226,10 +257,10 @@ sql("zeropoint_backfill", "sky_image sky_oldfile sky_run sky_oldzp", f"""
 select i.filename, {EXPOSURE_NAME.replace('expnum', 'i.expnum').replace('ccdnum', 'i.ccdnum')} as imagename, o.mag_zero, o.imageid, 'Y2T3_FINALCUT' as tag
 from sky_image i left join old o on o.rn = 1 and o.imagename = {EXPOSURE_NAME.replace('expnum', 'i.expnum').replace('ccdnum', 'i.ccdnum')}""")
 sql("zeropoint_selfjoin", "sky_oldfile sky_run sky_oldzp", """
-select distinct z.imageid, i.filename as imagename, z.mag_zero
-from sky_oldfile i, sky_oldzp z, sky_oldfile k, sky_run g
-where i.run in ('run4', 'run7') and i.filetype = 'red' and k.id = z.imageid and k.filename = i.filename
-  and k.run = g.run and g.tag = 'SVA1_FINALCUT'""")
+, wanted as (select filename from sky_oldfile where filetype = 'red' and run in ('run4', 'run7')),
+tagged as (select distinct filename as imagename, id as imageid from sky_oldfile f where filename in (from wanted)
+ and exists (select 1 from sky_run where sky_run.run = f.run and tag = 'SVA1_FINALCUT'))
+select distinct imageid, imagename, mag_zero from tagged join sky_oldzp using (imageid)""")
 
 # -- tiling --------------------------------------------------------------------------------------
 
@@ -301,26 +332,25 @@ SIZED = f"""
     case when ra_run - step/2 > 360 then ra_run - step/2 - 360 else ra_run - step/2 end as ural,
     case when {_last} then 275.0 - step/2 when ra_run + step/2 > 360 then ra_run + step/2 - 360 else ra_run + step/2 end as urau,
     {CORNERS} from grid),
-flagged as (select *, case when abs(urau - ural) > 2*{WIDTH}/cos(radians(dec_cent)) then 'Y' else 'N' end as crossra0 from tiles),
-sized as (select *,
-    case when crossra0 = 'Y' then greatest(rac1, rac2, rac3, rac4) else least(rac1, rac2, rac3, rac4) end as racmin,
-    case when crossra0 = 'Y' then least(rac1, rac2, rac3, rac4) else greatest(rac1, rac2, rac3, rac4) end as racmax from flagged)
+flagged as (select *, case when abs(urau - ural) > 2*{WIDTH}/cos(radians(dec_cent)) then 'Y' else 'N' end as crossra0,
+    greatest(rac1, rac2, rac3, rac4) as east, least(rac1, rac2, rac3, rac4) as west from tiles),
+sized as (select *, case when east - west > 180 then east else west end as racmin, case when east - west > 180 then west else east end as racmax,
+    case when east - west > 180 then west + 360 - east else east - west end as ra_size from flagged)
 """
 tiling("tiling_grid", "-85", SIZED + f"""
-select s.tilename, s.dec_row, cast(s.ra_step as int) as ra_step, s.crossra0, c.n_images,
+select s.tilename, s.dec_row, cast(s.ra_step as int) as ra_step, s.crossra0, coalesce(c.n_images, 0) as n_images,
   {r('ra_cent', 'ra_cent')}, {r('dec_cent', 'dec_cent')}, {r('rac1', 'rac1')}, {r('rac2', 'rac2')}, {r('decc1', 'decc1')}, {r('decc3', 'decc3')},
   {r('racmin', 'racmin')}, {r('racmax', 'racmax')},
-  {r("case when crossra0 = 'Y' then abs(racmax - (racmin - 360)) else abs(racmax - racmin) end", 'ra_size')},
+  {r('ra_size', 'ra_size')},
   {r('greatest(decc1, decc2, decc3, decc4) - least(decc1, decc2, decc3, decc4)', 'dec_size')},
   {r('ural', 'uramin')}, {r('urau', 'uramax')}, {r(f'dec_cent - ({WIDTH} - ov)/2', 'udecmin')}, {r(f'dec_cent + ({WIDTH} - ov)/2', 'udecmax')}
-from sized s join counts c on c.dec_row = s.dec_row and c.ra_step = s.ra_step""")
+from sized s left join counts c on c.dec_row = s.dec_row and c.ra_step = s.ra_step""")
 
-_ra_size = "case when s.crossra0 = 'Y' then abs(s.racmax - (s.racmin - 360)) else abs(s.racmax - s.racmin) end"
 tiling("survey_inputs_per_tile", "-85", SIZED + f"""
 , near_rows as (select i.*, g.dec_row from sky_image i join dec_rows g on abs(i.dec_cent - g.dec_cent) < 2)
 select s.tilename, i.band, count(*) as nima, count(distinct i.expnum) as nexp
 from near_rows i join sized s on s.dec_row = i.dec_row
- and least(abs(i.ra_cent - s.ra_cent), 360.0 - abs(i.ra_cent - s.ra_cent)) < 0.5*({_ra_size}) + 0.5*i.ra_size
+ and least(abs(i.ra_cent - s.ra_cent), 360.0 - abs(i.ra_cent - s.ra_cent)) < 0.5*s.ra_size + 0.5*i.ra_size
  and abs(i.dec_cent - s.dec_cent) < 0.5*(greatest(s.decc1, s.decc2, s.decc3, s.decc4) - least(s.decc1, s.decc2, s.decc3, s.decc4)) + 0.5*i.dec_size
 group by s.tilename, i.band""")
 
@@ -331,10 +361,10 @@ _flat = {n: f"case when {_past} then {x} - 360 else {x} end" for n, x in {
     "ural": "(ra_run - step/2)", "urau": "(ra_run + step/2)"}.items()}
 _flat["urau"] = f"case when {_last} then 275.0 - step/2 else ({_flat['urau']}) end"
 tiling("tiling_flat_corners", "-89.99", f"""
-select {tile_name('g.ra_cent', 'g.dec_cent')} as tilename, c.n_images, {', '.join(r(x, n) for n, x in _flat.items())},
+select {tile_name('g.ra_cent', 'g.dec_cent')} as tilename, coalesce(c.n_images, 0) as n_images, {', '.join(r(x, n) for n, x in _flat.items())},
   {r(f'dec_cent - {WIDTH}/2', 'decll')}, {r(f'dec_cent + {WIDTH}/2', 'decul')},
   {r(f'dec_cent - ({WIDTH} - ov)/2', 'udecl')}, {r(f'dec_cent + ({WIDTH} - ov)/2', 'udecu')}
-from grid g join (select dec_row, ra_step as s, n_images from counts) c on c.dec_row = g.dec_row and c.s = g.ra_step""")
+from grid g left join (select dec_row, ra_step as s, n_images from counts) c on c.dec_row = g.dec_row and c.s = g.ra_step""")
 
 sql("tiling_consistency", "sky_bounds", """
 select tilename, crossra0, concat_ws(',', case when uramin > uramax and crossra0 = 'N' then 'ura' end, case when udecmin > udecmax then 'udec' end) as reason
@@ -481,12 +511,14 @@ stats as (
 sql("depth_fractions", "sky_image sky_tile", STATISTICS + "select * from stats")
 
 sql("depth_json", "sky_image sky_tile", STATISTICS + "select tilename, " + ", ".join(
-    f"max(d{n}) filter (where band = '{band}') as {band}_d{n}" for band in "grizY" for n in (1, 2, 3)) + " from stats group by tilename")
+    f"max(d{n}) filter (where band = '{band}') as {band}_d{n}" for band in "grizY" for n in range(1, 8)) + " from stats group by tilename")
 
 # -- lists, bands, names -------------------------------------------------------------------------
 
 ASSOC = f"""
-, assoc0 as (select t.tilename, i.filename, i.band, i.ccdnum, z.mag_zero, {LOCAL} as filepath_local
+, assoc0 as (select t.tilename, i.filename, i.band, i.ccdnum, z.mag_zero, {LOCAL} as filepath_local,
+   concat('/archive/BKG/', i.path, '/', replace(i.filename, '.fits', '_bkg.fits'), coalesce(i.compression, '')) as filepath_bkg,
+   concat('/archive/SEG/', i.path, '/', replace(i.filename, '.fits', '_segmap.fits')) as filepath_seg
   from sky_image i join sky_zeropoint z on {ZP} join sky_tile t on {NEAR}),
 assoc as (select *, concat('/tiles/', tilename, '/inputs/', tilename, '_',
    replace(replace(regexp_extract(filepath_local, '([^/]*)$', 1), '.fits.fz', '.fits'), '.fits', '-me.fits')) as filepath_nwg from assoc0)
@@ -500,9 +532,9 @@ def listing(name: str, sort_key: str, kinds: dict[str, str]) -> None:
         f"select tilename, band, '{k}' as kind, {sort_key} as sort_key, {line} as line from assoc" for k, line in kinds.items()))
 
 
-listing("band_lists", "filepath_nwg", {"sci": "concat(filepath_nwg, '[0]')", "wgt": "concat(filepath_nwg, '[2]')", "msk": "concat(filepath_nwg, '[1]')"})
+listing("band_lists", "filepath_nwg", {"sci": "concat(filepath_nwg, '[0]')", "wgt": "concat(filepath_nwg, '[2]')", "flx": "printf('%.8f', pow(10.0::double, 0.4*(30.0 - mag_zero)))", "msk": "concat(filepath_nwg, '[1]')"})
 listing("meds_lists", "filepath_nwg", {
-    "nwg": "concat(filepath_nwg, ' ', cast(mag_zero as string))", "bkg": "concat(filepath_local, '.bkg')", "seg": "concat(filepath_local, '.seg')"})
+    "nwg": "concat(filepath_nwg, ' ', cast(mag_zero as string))", "bkg": "filepath_bkg", "seg": "filepath_seg"})
 listing("mangle_lists", "filepath_local", {"mangle-red": "concat(filepath_local, ', ', cast(mag_zero as string))", "mangle-me": "filepath_nwg"})
 _cat = "concat('/archive/', path, '/', filename)"
 sql("exposure_lists", "sky_catalog", f"select expnum, 'catlist' as kind, {_cat} as sort_key, {_cat} as line from sky_catalog")
@@ -555,6 +587,10 @@ sql("sample_exposures", "sky_image sky_tile", PAIRS + """
   from (select distinct tilename, band, expnum from pairs) e)
 select p.filename, p.band, concat(p.tilename, '_RAN_EXP') as tag
 from pairs p join ranked k on k.tilename = p.tilename and k.band = p.band and k.expnum = p.expnum and k.rn <= 4""")
+sql("sample_exposures_by_prefix", "sky_image sky_tile", PAIRS + """
+, drawn as (select tilename, band, prefix from (select distinct tilename, band, filename[1:9] as prefix from pairs) e
+  qualify row_number() over (partition by tilename, band order by md5(concat('7:', prefix)), prefix) <= 4)
+select filename, band, concat(tilename, '_RAN_EXP') as tag from pairs p semi join drawn d on d.tilename = p.tilename and d.band = p.band and d.prefix = p.filename[1:9]""")
 sql("sample_images", "sky_image sky_tile", PAIRS + """
 select filename, band, concat(tilename, '_RAN_CCD') as tag
 from (select *, row_number() over (partition by tilename, band order by md5(concat('7:', filename)), filename) as rn from pairs) k
@@ -574,12 +610,12 @@ union all select 'extra', null, false
 union all select '*', null, false"""
 STEP = "(case when (x + y) % 3 = 0 then x - y + 1 else 0 end)"
 sql("plane_diff", "sky_pixel", f"""
-, d as (select file, hdu, value - (value + {STEP}) as diff from sky_pixel)
-select file, hdu, count(*) as n_pix, count(*) filter (where diff <> 0) as n_diff,
+, d as (select file, hdu, case when x = 7 and y = 7 then null else -{STEP} end as diff from sky_pixel)
+select file, hdu, count(*) as n_pix, count(*) filter (where diff is null) as n_unpaired, count(*) filter (where diff <> 0) as n_diff,
   round(count(*) filter (where diff <> 0) / count(*)::double, 6) as fraction, round(avg(diff) filter (where diff <> 0), 6) as diff_mean,
   min(diff) filter (where diff <> 0) as diff_min, max(diff) filter (where diff <> 0) as diff_max, cast(median(diff) filter (where diff <> 0) as double) as diff_median
 from d group by file, hdu""")
-sql("plane_diff_image", "sky_pixel", f"select file, hdu, y, x, -{STEP} as diff from sky_pixel where {STEP} <> 0")
+sql("plane_diff_image", "sky_pixel", f"select file, hdu, y, x, -{STEP} as diff from sky_pixel where {STEP} <> 0 and not (x = 7 and y = 7)")
 ORACLE["config_diff"] = """
 select concat('K', cast(p_partkey as string)) as "key", p_type as value_new,
   case when p_size = 7 then 'OTHER' end as value_ref
@@ -622,3 +658,15 @@ select * from (
  union all select 'check', 'north', null, count(*) filter (where not dec_cent > 0) from sky_image) c where n > 0
 union all select 'unique', 'filename', filename, count(*) from sky_image group by filename having count(*) > 1
 union all select 'unique', 'expnum+ccdnum', concat(cast(expnum as string), '|', cast(ccdnum as string)), count(*) from sky_image group by expnum, ccdnum having count(*) > 1""")
+
+# -- text formats ------------------------------------------------------------------------------------
+
+ORACLE["config_lines"] = """
+select replace(p_brand, '#', '') as "key", concat('V', arg_max(p_partkey, p_partkey)) as value
+from part where p_size % 7 not in (0, 1) group by all"""
+sql("name_lines", "sky_tile", """
+select tilename from sky_tile where tile_id % 3 <> 2 union all select concat('X', tile_id) from sky_tile where tile_id % 3 = 1""")
+ORACLE["section_lines"] = """
+select concat('D', p_partkey, '.fits') as filename, p_size::int as x1, (p_size + 2047)::int as x2, 1 as y1, 4096 as y2, (p_partkey % 62 + 1)::int as ccdnum,
+  12.5::double as crpix1, -7.0::double as crpix2, p_size + 0.25::double as crval1, 30.0::double as crval2 from part where p_size <> 1"""
+sql("list_lines", "sky_image", """select filename as "FILENAME", band as "BAND", expnum as "EXPNUM" from sky_image""")

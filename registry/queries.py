@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from registry.standins import table
 from skyjoin.functions import healpix, naming, photometry, sphere, wcs
-from skyjoin.operators import depth, lists, overlap, quality, sampling, stats, tiling
+from skyjoin.operators import depth, lists, ordering, overlap, quality, sampling, stats, tiling
 from skyjoin.plans import builders, lineage, select
-from skyjoin.sources import tables
+from skyjoin.sources import readers, tables
 
 LOCAL, HTTPS = "/archive", "https://archive.example.org/files"
 TILEDIR = "/tiles"
@@ -56,7 +56,7 @@ def tile_inputs_distance(t):
 def tile_inputs_wrap(t):
     tiles = t.sky_tile.filter(F.col("crossra0") == "Y")
     df = select.select_inputs(tiles, t.sky_image, wrap="by_tile")
-    return df.select(*IMAGE_OUT, *rounded("ra_cent", "rac1", "rac3", "dec_cent"))
+    return df.select(*IMAGE_OUT, *rounded("ra_cent", "rac1", "rac3", "racmin", "racmax", "dec_cent"))
 
 
 @query
@@ -115,6 +115,33 @@ def images_not_blacklisted_by_name(t):
     return select.exclude_by_name(t.sky_image, t.sky_blacklist, t.sky_image).select("filename", "expnum", "ccdnum")
 
 
+# a tile across RA = 0
+ONE_TILE = {"ra_cent": 0.0625, "dec_cent": -29.46875, "ra_size": 1.0, "dec_size": 1.0, "crossra0": "Y"}
+
+
+@query
+def inputs_of_one_tile(t):
+    return overlap.overlap_of_tile(t.sky_image, ONE_TILE).select("filename", "band", "expnum", "ccdnum")
+
+
+@query
+def tile_inputs_by_file(t):
+    rows = _pairs(t).select("tilename", "band", "filename")
+    return ordering.with_position(rows, ["tilename", "band", "filename"], F.col("tilename"), F.col("band"))
+
+
+@query
+def images_by_ra(t):
+    rows = t.sky_image.select("ra_cent", "band", "filename")
+    return ordering.with_position(rows, ["ra_cent", "band", "filename"], F.floor("ra_cent"), F.floor(F.col("ra_cent") * 60))
+
+
+@query
+def tile_inputs_by_detector(t):
+    rows = _pairs(t).select("ccdnum", "tilename", "filename")
+    return ordering.with_position(rows, ["ccdnum", "tilename", "filename"], F.col("ccdnum"), F.col("tilename"))
+
+
 def _pairs(t):
     return overlap.overlap_join(t.sky_image, t.sky_tile)
 
@@ -287,14 +314,14 @@ def _home_counts(t, plan=tiling.TilingPlan()):
 def tiling_home_tiles(t):
     home = tiling.home_tile(t.sky_image.select("filename", "ra_cent", "dec_cent"))
     names = tiling.sky_tiling(home.sparkSession).select(*TILE_KEY, "tilename")
-    return home.join(names, TILE_KEY).select("filename", "tilename", *TILE_KEY)
+    return home.join(names, TILE_KEY, "left").select("filename", "tilename", *TILE_KEY)
 
 
 @query
 def tiling_grid(t):
     counts = _home_counts(t)
     tiles = tiling.sky_tiling(counts.sparkSession)
-    return tiles.join(counts, TILE_KEY).select(
+    return tiles.join(counts, TILE_KEY, "left").fillna(0, ["n_images"]).select(
         "tilename", *TILE_KEY, "crossra0", "n_images",
         *rounded("ra_cent", "dec_cent", "rac1", "rac2", "decc1", "decc3", "racmin", "racmax", "ra_size", "dec_size", "uramin", "uramax", "udecmin", "udecmax"))
 
@@ -302,7 +329,8 @@ def tiling_grid(t):
 @query
 def survey_inputs_per_tile(t):
     images = t.sky_image.select("band", "expnum", "ra_cent", "dec_cent", "ra_size", "dec_size")
-    pairs = overlap.overlap_join(images, tiling.sky_tiling(images.sparkSession))
+    tiles = tiling.sky_tiling(images.sparkSession).select("tilename", "ra_cent", "dec_cent", "ra_size", "dec_size")
+    pairs = overlap.overlap_join(images, tiles)
     return stats.inputs_per_tile_band(pairs)
 
 
@@ -310,7 +338,7 @@ def survey_inputs_per_tile(t):
 def tiling_flat_corners(t):
     counts = _home_counts(t)
     flat = tiling.flat_tiling(counts.sparkSession)
-    return flat.join(counts, TILE_KEY).select(
+    return flat.join(counts, TILE_KEY, "left").fillna(0, ["n_images"]).select(
         "tilename", "n_images", *rounded("rall", "ralr", "raul", "raur", "decll", "decul", "ural", "urau", "udecl", "udecu"))
 
 
@@ -417,7 +445,7 @@ def depth_fractions(t):
 def depth_json(t):
     documents = depth.depth_json(depth.depth_statistics(_rectangles(t)))
     return documents.select("tilename", *[
-        F.get_json_object("json", f"$.{band}.D{n}").cast("double").alias(f"{band}_d{n}") for band in "grizY" for n in (1, 2, 3)])
+        F.get_json_object("json", f"$.{band}.D{n}").cast("double").alias(f"{band}_d{n}") for band in "grizY" for n in range(1, 8)])
 
 
 # -- lists, bands, names -------------------------------------------------------------------------
@@ -425,9 +453,16 @@ def depth_json(t):
 
 def _assoc(t):
     df = select.select_inputs(t.sky_tile, t.sky_image, zeropoint=t.sky_zeropoint)
-    df = naming.with_image_paths(df, LOCAL, HTTPS)
+    planes = {
+        "sci": (F.col("filename"), F.col("compression"), F.col("path")),
+        "bkg": (F.replace("filename", F.lit(".fits"), F.lit("_bkg.fits")), F.col("compression"), F.concat(F.lit("BKG/"), "path")),
+        "seg": (F.replace("filename", F.lit(".fits"), F.lit("_segmap.fits")), F.lit(None).cast("string"), F.concat(F.lit("SEG/"), "path"))}
+    df = df.withColumns({f"{n}_{k}": c for k, plane in planes.items() for n, c in zip(("filename", "compression", "path"), plane, strict=True)})
+    for k in ("bkg", "seg"):
+        df = naming.with_image_paths(df, LOCAL, HTTPS, k).withColumnRenamed("filepath_local", f"filepath_{k}")
+    df = naming.with_image_paths(df, LOCAL, HTTPS, "sci")
     nwg = naming.prepared_image_name(F.col("filepath_local"), F.col("tilename"), F.concat(F.lit(TILEDIR + "/"), "tilename"))
-    return df.withColumns({"filepath_nwg": nwg, "filepath_bkg": F.concat("filepath_local", F.lit(".bkg")), "filepath_seg": F.concat("filepath_local", F.lit(".seg"))})
+    return df.withColumn("filepath_nwg", nwg)
 
 
 @query
@@ -437,8 +472,7 @@ def flux_scale(t):
 
 @query
 def band_lists(t):
-    # the lines of the flux-scale list are numbers; flux_scale compares those
-    return lists.coadd_lists(_assoc(t)).filter("kind <> 'flx'")
+    return lists.coadd_lists(_assoc(t))
 
 
 @query
@@ -562,6 +596,11 @@ def sample_exposures(t):
     return sampling.tag_rows(df, "RAN_EXP")
 
 
+@query
+def sample_exposures_by_prefix(t):
+    return sampling.tag_rows(sampling.random_exposures(_pairs(t), seed=7), "RAN_EXP")
+
+
 @query
 def sample_images(t):
     quota = {"g": 2, "r": 1, "i": 3, "z": 2, "Y": 1}
@@ -582,13 +621,14 @@ def catalog_compare(t):
 
 
 def _second_plane(t):
-    return t.sky_pixel.withColumn("value", F.col("value") + F.when((F.col("x") + F.col("y")) % 3 == 0, F.col("x") - F.col("y") + 1).otherwise(0))
+    # without the last pixel of each plane
+    return t.sky_pixel.filter("NOT (x = 7 AND y = 7)").withColumn("value", F.col("value") + F.when((F.col("x") + F.col("y")) % 3 == 0, F.col("x") - F.col("y") + 1).otherwise(0))
 
 
 @query
 def plane_diff(t):
     df = quality.plane_statistics(quality.plane_difference(t.sky_pixel, _second_plane(t)))
-    return df.select("file", "hdu", "n_pix", "n_diff", *rounded("fraction", "diff_mean"), "diff_min", "diff_max", F.col("diff_median").cast("double").alias("diff_median"))
+    return df.select("file", "hdu", "n_pix", "n_unpaired", "n_diff", *rounded("fraction", "diff_mean"), "diff_min", "diff_max", F.col("diff_median").cast("double").alias("diff_median"))
 
 
 @query
@@ -677,3 +717,35 @@ def constraint_violations(t):
         t.sky_image.withColumn("band_checked", F.nullif(F.col("band"), F.lit("Y"))),
         not_null=["filename", "compression", "band_checked"], unique=[["filename"], ["expnum", "ccdnum"]],
         checks={"crossra0": F.col("crossra0").isin("Y", "N"), "north": F.col("dec_cent") > 0})
+
+
+# -- text formats ------------------------------------------------------------------------------------
+
+
+@query
+def config_lines(t):
+    lines = t.part.select(F.col("p_partkey").alias("place"), F.when(F.col("p_size") % 7 == 0, F.concat(F.lit("# "), "p_brand", F.lit(" off"))).when(
+        F.col("p_size") % 7 == 1, F.col("p_brand")).otherwise(F.concat(F.lit(" "), F.replace("p_brand", F.lit("#"), F.lit("")), F.lit("   V"), "p_partkey", F.lit(" # note"))).alias("value"))
+    return readers.parse_config(lines, "place")
+
+
+@query
+def name_lines(t):
+    name = F.col("tilename")
+    lines = t.sky_tile.select(F.when(F.col("tile_id") % 3 == 0, name).when(
+        F.col("tile_id") % 3 == 1, F.concat(F.lit("where tilename in ('"), name, F.lit("', 'X"), "tile_id", F.lit("')"))).otherwise(F.lit("two words")).alias("value"))
+    return readers.parse_names(lines)
+
+
+@query
+def section_lines(t):
+    lines = t.part.select(F.when(F.col("p_size") == 1, F.lit("# file section detector")).otherwise(F.concat(
+        F.lit("D"), "p_partkey", F.lit(".fits   ["), F.col("p_size"), F.lit(":"), F.col("p_size") + 2047, F.lit(",1:4096]  "), F.col("p_partkey") % 62 + 1,
+        F.lit(" 12.5 -7 "), F.col("p_size"), F.lit(".25 30"))).alias("value"))
+    return readers.parse_detector_sections(lines)
+
+
+@query
+def list_lines(t):
+    lines = t.sky_image.select(F.explode(F.array(F.lit("# FILENAME BAND EXPNUM "), F.lit("  "), F.concat("filename", F.lit(" "), "band", F.lit("  "), "expnum", F.lit(" ")))).alias("value"))
+    return readers.parse_commented_list(lines, "FILENAME string, BAND string, EXPNUM long")

@@ -269,9 +269,10 @@ def product_kinds(spark: SparkSession) -> DataFrame:
 def with_product_paths(df: DataFrame, tiledir, kind: str = "kind") -> DataFrame:
     """PRODUCT_PATH for rows that name their own kind, base, band, exposure, suffix.
 
-    The product table has a fixed number of rows, so it is joined by broadcast.
+    The product table has a fixed number of rows, so it is joined by broadcast. An unknown
+    kind has a NULL path.
     """
     kinds = F.broadcast(product_kinds(df.sparkSession).withColumnRenamed("kind", kind))
     fields = {k: F.coalesce(F.col(k).cast("string"), F.lit("")) for k in ("base", "band", "exposure", "suffix") if k in df.columns}
     path = join_path(_root(tiledir), "subdir", _fill(F.col("pattern"), fields))
-    return df.join(kinds, kind).withColumn("product_path", path).drop("subdir", "pattern")
+    return df.join(kinds, kind, "left").withColumn("product_path", path).drop("subdir", "pattern")

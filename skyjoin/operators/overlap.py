@@ -5,7 +5,7 @@ with the exact predicate. RA cells are numbered round the circle, so boxes acros
 RA=0 need no special case. A pair that shares several cells is kept in one of them
 only, which spares a ``distinct``. Spark broadcasts the tile side where its size allows
 and shuffles on the cell otherwise; cells that hold very many images (deep fields) are
-then split, by adaptive execution or by salt.
+then split, by adaptive execution or by the caller's salt.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from skyjoin.functions import sphere
 
 CELL_DEG = 1.0
-SALTS_WITHOUT_AQE = 32
 # Box edges move out by this much before they are cut into cells, so that rounding
 # never separates two boxes that the exact predicate accepts.
 EDGE_DEG = 1e-9
@@ -153,14 +152,6 @@ def _owner(cell: float) -> Column:
     return own_x & own_y
 
 
-def _salts(images: DataFrame) -> int:
-    """Pieces per cell: one where the session splits skewed partitions at run time."""
-    conf = images.sparkSession.conf
-    on = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
-    splits = all(str(conf.get(k)).lower() == "true" for k in on)
-    return 1 if splits else SALTS_WITHOUT_AQE
-
-
 def _salted(images: DataFrame, tiles: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
     """Images of a cell spread over ``salts`` pieces; tiles repeated in every piece."""
     own = [c for c in images.columns if not c.startswith("_i_")]
@@ -173,7 +164,7 @@ def _salted(images: DataFrame, tiles: DataFrame, salts: int) -> tuple[DataFrame,
 def overlap_join(
     images: DataFrame, tiles: DataFrame, search: str = "distance", *,
     wrap: str = "circle", pad: float = 0.5, cell: float = CELL_DEG,
-    salts: int | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """All (image, tile) pairs that overlap; image columns plus ``tile_`` columns.
 
@@ -182,8 +173,9 @@ def overlap_join(
     ``any_corner``. ``wrap='circle'`` compares RA the short way round for every tile;
     ``wrap='by_tile'`` does so only for tiles flagged CROSSRA0. RAs lie on [0, 360).
     ``pad`` is the share of the image size that counts (0.5 = half).
-    ``salts`` is the number of pieces a cell is cut into when the join shuffles; by
-    default one where adaptive execution splits skewed partitions, else several.
+    ``salts`` is the number of pieces a cell is cut into: one where adaptive execution
+    splits skewed partitions, as it does by default; more where that is off and the tile
+    side is too large to broadcast. The tile side is repeated once per piece.
     """
     if abs(360 / cell - round(360 / cell)) > 1e-9:
         raise ValueError("cell must divide 360 degrees")
@@ -193,7 +185,6 @@ def overlap_join(
     i = _in_cells(images, image_box, cell, "_i")
     t = _in_cells(tiles, tile_box, cell, "_t")
     on = (F.col("_i_cx") == F.col("_t_cx")) & (F.col("_i_cy") == F.col("_t_cy"))
-    salts = _salts(images) if salts is None else salts
     if salts > 1:
         i, t = _salted(i, t, salts)
         on = on & (F.col("_i_salt") == F.col("_t_salt"))
@@ -230,8 +221,8 @@ def overlap_of_tile(
     return df.withColumns(literals).filter(predicate).select(*keep)
 
 
-def fold_crossing(df: DataFrame, flag: str = "tile_crossra0", names=("ra_cent", "rac1", "rac2", "rac3", "rac4")) -> DataFrame:
-    """RA columns moved to (-180, 180] on the rows whose tile crosses RA=0."""
+def fold_crossing(df: DataFrame, flag: str = "tile_crossra0", names=("ra_cent", "rac1", "rac2", "rac3", "rac4", "racmin", "racmax")) -> DataFrame:
+    """RA columns, each on its own, moved to (-180, 180] on the rows whose tile crosses RA=0."""
     present = [n for n in names if n in df.columns]
     return df.withColumns({
         n: F.when(F.col(flag) == "Y", sphere.fold_ra(n)).otherwise(F.col(n)) for n in present

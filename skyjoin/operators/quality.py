@@ -64,24 +64,27 @@ PIXEL = ["file", "hdu", "y", "x"]
 
 
 def plane_difference(a: DataFrame, b: DataFrame, value: str = "value") -> DataFrame:
-    """Pixel by pixel first minus second plane."""
+    """Pixel by pixel first minus second plane; NULL where only one plane has the pixel."""
     other = b.select(*PIXEL, F.col(value).alias("_b"))
-    return a.join(other, PIXEL).select(*PIXEL, (F.col(value) - F.col("_b")).alias("diff"))
+    return a.join(other, PIXEL, "full_outer").select(*PIXEL, (F.col(value) - F.col("_b")).alias("diff"))
 
 
 def plane_statistics(difference: DataFrame) -> DataFrame:
-    """Per file and HDU: pixels, differing pixels, their share and statistics.
+    """Per file and HDU: pixels, those in one plane only, differing pixels, their share and statistics.
 
-    Minimum, maximum, mean and median are those of the differences other than zero.
+    Minimum, maximum, mean and median are those of the differences other than zero. All
+    follow from the counts of each difference, so the planes are joined once.
     """
     keys = ["file", "hdu"]
-    d = F.when(F.col("diff") != 0, F.col("diff"))
-    base = difference.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_pix"), F.count(d).alias("n_diff"),
-        (F.count(d) / F.count(F.lit(1))).alias("fraction"),
-        F.min(d).alias("diff_min"), F.max(d).alias("diff_max"), F.avg(d).alias("diff_mean"),
+    counted = difference.groupBy(*keys, "diff").agg(F.count(F.lit(1)).alias("n"))
+    differs = F.col("diff") != 0
+    d, n = F.when(differs, F.col("diff")), F.when(differs, F.col("n")).otherwise(F.lit(0))
+    base = counted.groupBy(*keys).agg(
+        F.sum("n").alias("n_pix"), F.sum(F.when(F.col("diff").isNull(), F.col("n")).otherwise(F.lit(0))).alias("n_unpaired"),
+        F.sum(n).alias("n_diff"), (F.sum(n) / F.sum("n")).alias("fraction"),
+        F.min(d).alias("diff_min"), F.max(d).alias("diff_max"), F.try_divide(F.sum(d * n), F.sum(n)).alias("diff_mean"),
     )
-    median = stats.exact_median(difference.filter(F.col("diff") != 0), keys, "diff", "diff_median")
+    median = stats.median_of_counts(counted, keys, "diff", "diff_median", weight=n)
     return base.join(median.drop("upper_diff_median"), keys, "left")
 
 
@@ -107,16 +110,16 @@ def existing_pairs(pairs: DataFrame, inventory: DataFrame, first: str = "file1",
 
 
 def mask_by_plane(image: DataFrame, mask: DataFrame) -> DataFrame:
-    """Pixel value times the mask's value at the same (y, x)."""
+    """Pixel value times the mask's value at the same (y, x); NULL where the mask has no pixel."""
     m = mask.select("y", "x", F.col("value").alias("_m"))
-    return image.join(m, ["y", "x"]).select(*PIXEL, (F.col("value") * F.col("_m")).alias("value"))
+    return image.join(m, ["y", "x"], "left").select(*PIXEL, (F.col("value") * F.col("_m")).alias("value"))
 
 
 def mask_by_rectangles(image: DataFrame, rectangles: DataFrame, cell: int = 64) -> DataFrame:
     """Pixels inside any rectangle [x1, x2) x [y1, y2) keep their value, others become 0.
 
     Rectangles are cut into square cells and met on the cell, so the test is a hash join
-    whatever their number.
+    whatever their number; one pass asks of each pixel whether there is one.
     """
     # rectangles can be long in one axis only: number the cells by row of cells
     def span(lo, hi):
@@ -126,14 +129,12 @@ def mask_by_rectangles(image: DataFrame, rectangles: DataFrame, cell: int = 64)
     r = r.select("x1", "x2", "y1", "y2", span("y1", "y2").alias("_cy"))
     r = r.select("*", span("x1", "x2").alias("_cx"))
     i = image.withColumns({"_py": F.floor(F.col("y") / cell), "_px": F.floor(F.col("x") / cell)})
-    inside = (
-        (F.col("_py") == F.col("_cy")) & (F.col("_px") == F.col("_cx"))
-        & (F.col("x") >= F.col("x1")) & (F.col("x") < F.col("x2"))
-        & (F.col("y") >= F.col("y1")) & (F.col("y") < F.col("y2"))
-    )
-    kept = i.join(r, inside, "left_semi").select(*PIXEL, "value")
-    blank = i.join(r, inside, "left_anti").select(*PIXEL, F.lit(0).cast(image.schema["value"].dataType).alias("value"))
-    return kept.unionByName(blank)
+    met = r.where(
+        (F.col("_py").outer() == F.col("_cy")) & (F.col("_px").outer() == F.col("_cx"))
+        & (F.col("x").outer() >= F.col("x1")) & (F.col("x").outer() < F.col("x2"))
+        & (F.col("y").outer() >= F.col("y1")) & (F.col("y").outer() < F.col("y2")))
+    blank = F.lit(0).cast(image.schema["value"].dataType)
+    return i.withColumn("_in", met.exists()).select(*PIXEL, F.when(F.col("_in"), F.col("value")).otherwise(blank).alias("value"))
 
 
 # -- configurations ---------------------------------------------------------------------------

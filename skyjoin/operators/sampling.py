@@ -27,17 +27,15 @@ def random_exposures(
     """All images of ``n`` exposures drawn per group, without replacement."""
     name = naming.exposure_prefix() if exposure is None else exposure
     df = pairs.withColumn("_exposure", name)
-    exposures = df.select(*keys, "_exposure").distinct()
     order = Window.partitionBy(*keys).orderBy(draw_order(F.col("_exposure"), seed), "_exposure")
-    drawn = exposures.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= n).drop("_rank")
-    return df.join(drawn, [*keys, "_exposure"], "left_semi").drop("_exposure")
+    return df.withColumn("_rank", F.dense_rank().over(order)).filter(F.col("_rank") <= n).drop("_rank", "_exposure")
 
 
 def random_images(
     pairs: DataFrame, per_band: dict[str, int] = IMAGES_PER_BAND, seed: int = 0,
     keys: list[str] = ["tilename", "band"], image: str = "filename",
 ) -> DataFrame:
-    """Up to ``per_band`` images drawn per group, without replacement."""
+    """Up to ``per_band`` images drawn per group, without replacement; none of a band without a quota."""
     order = Window.partitionBy(*keys).orderBy(draw_order(F.col(image), seed), image)
     quota = F.create_map(*[x for band, n in per_band.items() for x in (F.lit(band), F.lit(n))])
     ranked = pairs.filter(F.col("band").isin(*per_band)).withColumn("_rank", F.row_number().over(order))

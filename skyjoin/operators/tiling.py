@@ -41,14 +41,36 @@ class TilingPlan:
         return out
 
 
+    def tiles(self) -> int:
+        """Number of tiles of all rows."""
+        return sum(math.ceil(self.ra_range / ((self.width - o) / math.cos(math.radians(dec)))) for _, dec, o in self.rows())
+
+
+#: Tiles up to which a generated grid may be broadcast: some 100 MB with a few columns and three cells a tile.
+BROADCAST_TILES = 500_000
+
+
+def _sized(grid: DataFrame, plan: TilingPlan) -> DataFrame:
+    """Spark takes a generated grid for tiny and would always broadcast it; a large one asks for a merge join."""
+    return grid if plan.tiles() <= BROADCAST_TILES else grid.hint("merge")
+
+
 def dec_rows(spark: SparkSession, plan: TilingPlan = TilingPlan()) -> DataFrame:
-    """One row per Dec row: number, Dec, overlap, RA step and number of tiles."""
-    rows = spark.createDataFrame(plan.rows(), "dec_row int, dec_cent double, overlap double")
+    """One row per Dec row: number, Dec, overlap, RA step and number of tiles.
+
+    The rows are literals of one row: their number follows from the plan, not from data.
+    """
+    rows = _literals(spark, plan.rows(), ("dec_row", "dec_cent", "overlap"))
     step = (plan.width - F.col("overlap")) / F.cos(F.radians("dec_cent"))
     return rows.withColumn("ra_step_deg", step).withColumn(
         "n_tiles", F.ceil(F.lit(plan.ra_range) / F.col("ra_step_deg")).cast("int"))
 
 
+def _literals(spark: SparkSession, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names, strict=True)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def _grid(spark: SparkSession, plan: TilingPlan) -> DataFrame:
     """Tile centres: RA before (``ra_run``) and after folding below 360."""
     df = dec_rows(spark, plan).select(
@@ -83,7 +105,7 @@ def sky_tiling(spark: SparkSession, plan: TilingPlan = TilingPlan()) -> DataFram
     })
     flag = sphere.crosses_ra0_by_bounds("uramin", "uramax", F.lit(plan.width), "dec_cent")
     df = wcs.with_tile_geometry(df, crossra0=flag)
-    return df.drop("ra_run", "n_tiles", "overlap", "ra_step_deg")
+    return _sized(df.drop("ra_run", "n_tiles", "overlap", "ra_step_deg"), plan)
 
 
 # Fixed value: the older geometry runs on to the pole.
@@ -105,7 +127,7 @@ def flat_tiling(spark: SparkSession, plan: TilingPlan = TilingPlan(dec_end=FLAT_
     past = F.least(*raw.values()) > 360
     df = _grid(spark, plan)
     df = df.withColumns({name: F.when(past, x - 360).otherwise(x) for name, x in raw.items()})
-    return df.withColumns({
+    flat = df.withColumns({
         "urau": F.when(_last(plan), F.lit(plan.ra_ini) - half).otherwise(F.col("urau")),
         "decul": upper, "decur": upper, "decll": lower, "declr": lower,
         "udecl": F.col("dec_cent") - (w - F.col("overlap")) / 2,
@@ -117,13 +139,14 @@ def flat_tiling(spark: SparkSession, plan: TilingPlan = TilingPlan(dec_end=FLAT_
         "rall", "decll", "raul", "decul", "raur", "decur", "ralr", "declr",
         "ural", "urau", "udecl", "udecu",
     )
+    return _sized(flat, plan)
 
 
 def home_tile(df: DataFrame, plan: TilingPlan = TilingPlan(), ra: str = "ra_cent", dec: str = "dec_cent") -> DataFrame:
     """DEC_ROW and RA_STEP of the tile whose unique area holds each position.
 
-    The row comes from the short row table, the step by arithmetic; positions outside
-    the tiled declinations are dropped. The row table has about 180 / width rows, so it
+    The row comes from the short row table, the step by arithmetic; both are NULL for
+    positions outside the tiled declinations. The row table has about 180 / width rows, so it
     is joined by broadcast on one-degree Dec bands.
     """
     bounds, above = [], None
@@ -133,14 +156,15 @@ def home_tile(df: DataFrame, plan: TilingPlan = TilingPlan(), ra: str = "ra_cent
         above = centre - half
     spark = df.sparkSession
     rows = dec_rows(spark, plan).select("dec_row", "ra_step_deg", "n_tiles").join(
-        F.broadcast(spark.createDataFrame(bounds, "dec_row int, _lo double, _hi double")), "dec_row")
+        F.broadcast(_literals(spark, bounds, ("dec_row", "_lo", "_hi"))), "dec_row")
     rows = rows.select("*", F.explode(F.sequence(F.floor("_lo"), F.floor("_hi"))).alias("_band"))
-    joined = df.withColumn("_band", F.floor(F.col(dec))).join(F.broadcast(rows), "_band")
-    joined = joined.filter((F.col(dec) >= F.col("_lo")) & (F.col(dec) < F.col("_hi")))
+    rows = rows.withColumnRenamed("_band", "_at")
+    within = (F.floor(F.col(dec)) == F.col("_at")) & (F.col(dec) >= F.col("_lo")) & (F.col(dec) < F.col("_hi"))
+    joined = df.join(F.broadcast(rows), within, "left")
     start = F.lit(plan.ra_ini) - F.col("ra_step_deg") / 2
     offset = F.pmod(F.col(ra) - start, F.lit(360.0))
-    step = F.least(F.floor(offset / F.col("ra_step_deg")), F.col("n_tiles") - 1).cast("int")
-    return joined.withColumn("ra_step", step).drop("_band", "_lo", "_hi", "ra_step_deg", "n_tiles")
+    step = F.when(F.col("n_tiles").isNotNull(), F.least(F.floor(offset / F.col("ra_step_deg")), F.col("n_tiles") - 1)).cast("int")
+    return joined.withColumn("ra_step", step).drop("_at", "_lo", "_hi", "ra_step_deg", "n_tiles")
 
 
 # -- identifiers ---------------------------------------------------------------------------
@@ -168,7 +192,7 @@ def with_ids(
         return F.coalesce(F.sum("_n").over(running), F.lit(0))
 
     row_offset = per_row.select(row, before(row).alias("_rows"))
-    offsets = cells.select(row, step, before(step, row).alias("_steps")).join(F.broadcast(row_offset), row)
+    offsets = cells.select(row, step, before(step, row).alias("_steps")).join(row_offset, row)
     top = known.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     in_cell = F.sum(F.when(F.col("id").isNull(), 1).otherwise(0)).over(
         Window.partitionBy(row, step).orderBy("tilename").rowsBetween(Window.unboundedPreceding, 0))

@@ -70,13 +70,16 @@ def build_plane_inputs(
     image: DataFrame, miscfile: DataFrame, archive: DataFrame, proctag: DataFrame, tag: str,
     filetype: str = IMAGE_TYPE, geometry: bool = True,
 ) -> DataFrame:
-    """Science image, background and segmentation files of each detector of a tag."""
+    """Science image, background and segmentation files of each detector of a tag.
+
+    Each of the three is limited to the tag before it meets the archive.
+    """
     tags = _tagged(proctag, tag, ["pfw_attempt_id"])
     key = ["pfw_attempt_id", "ccdnum"]
     carried = ["band", "expnum", *(GEOMETRY if geometry else [])]
     red = _of_type(image, filetype).select("filename", *key, *carried).join(tags, "pfw_attempt_id")
-    bkg = _of_type(image, BACKGROUND_TYPE).select("filename", *key)
-    seg = _of_type(miscfile, SEGMENTATION_TYPE).select("filename", *key)
+    bkg = _of_type(image, BACKGROUND_TYPE).select("filename", *key).join(tags, "pfw_attempt_id", "left_semi")
+    seg = _of_type(miscfile, SEGMENTATION_TYPE).select("filename", *key).join(tags, "pfw_attempt_id", "left_semi")
     df = (
         _archived(red, archive)
         .join(_archived(bkg, archive, "_bkg"), key)
@@ -135,15 +138,16 @@ def provenance_by_artifact(
     generated_by: DataFrame, execution: DataFrame, proctag: DataFrame, tag: str,
     pattern: str = "%immasked%", filetype: str = "red",
 ) -> DataFrame:
-    """The same through artifacts and executed tasks."""
+    """The same through artifacts and executed tasks: from the tag's tasks, few, to their files."""
     files = _of_type(genfile, filetype).filter(F.col("filename").like(pattern)).select("filename")
+    tasks = execution.select("task_id", *RUN_KEY).join(_tagged(proctag, tag, RUN_KEY), RUN_KEY)
     made = (
-        files.join(artifact.select(F.col("name").alias("filename"), F.col("id").alias("opm_artifact_id")), "filename")
-        .join(generated_by.select("opm_artifact_id", "task_id"), "opm_artifact_id")
-        .join(execution.select("task_id", *RUN_KEY), "task_id")
+        generated_by.select("opm_artifact_id", "task_id").join(tasks, "task_id")
+        .join(artifact.select(F.col("name").alias("filename"), F.col("id").alias("opm_artifact_id")), "opm_artifact_id")
+        .join(files, "filename")
     )
     return (
-        made.join(_tagged(proctag, tag, RUN_KEY), RUN_KEY).drop("opm_artifact_id", "task_id")
+        made.drop("opm_artifact_id", "task_id")
         .join(archive.select("filename", "compression", "path"), "filename")
         .join(image, "filename")
     )

@@ -36,16 +36,25 @@ def append_rows(df: DataFrame, name: str) -> None:
 
 
 def upsert(base: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """Rows of ``base`` whose key is not in ``new``, and all rows of ``new``."""
+    """Rows of ``base`` whose key is not in ``new``, and the rows of ``new``, one for each key."""
+    new = one_per_key(new, key).select(*base.columns)
     return base.join(new.select(*key), key, "left_anti").unionByName(new)
 
 
+def one_per_key(df: DataFrame, key: list[str]) -> DataFrame:
+    """Of rows with one key the smallest, by all other columns in order; combined before the shuffle."""
+    others = [c for c in df.columns if c not in key]
+    if not others:
+        return df.distinct()
+    return df.groupBy(*key).agg(F.min(F.struct(*others)).alias("_row")).select(*key, "_row.*").select(*df.columns)
+
+
 def update_columns(base: DataFrame, changes: DataFrame, key: list[str], names: list[str]) -> DataFrame:
     """``base`` with the named columns taken from ``changes`` where it has the key.
 
-    ``changes`` holds each key once; a NULL there leaves the old value.
+    Of changes with one key the smallest counts; a NULL there leaves the old value.
     """
-    new = changes.select(*key, *[F.col(n).alias(f"_new_{n}") for n in names])
+    new = one_per_key(changes.select(*key, *[F.col(n).alias(f"_new_{n}") for n in names]), key)
     joined = base.join(new, key, "left")
     return joined.withColumns({n: F.coalesce(f"_new_{n}", n) for n in names}).select(*base.columns)
 

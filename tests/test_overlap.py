@@ -66,7 +66,7 @@ def test_crowded_cell_without_adaptive_execution(spark):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
-        df = overlap.overlap_join(i, t)
+        df = overlap.overlap_join(i, t, salts=32)
         assert "_i_salt" in df._jdf.queryExecution().toString()
         assert found(df) == brute(images, tiles)
     finally:

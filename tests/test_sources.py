@@ -79,6 +79,11 @@ def test_assoc_json(spark, tmp_path):
 def test_config(spark, tmp_path):
     ref = readers.read_config(spark, write(tmp_path / "ref.conf", "# comment\nA 1 # one\nB  two\n  # C 3\nlonely\nA 5\n"))
     assert sorted(map(tuple, ref.collect())) == [("A", "5"), ("B", "two")]
+    folder = tmp_path / "several"
+    folder.mkdir()
+    for name, text in (("1.conf", "A 1\n" * 50 + "B 1\n"), ("2.conf", "A 2\nA 3\n"), ("3.conf", "C 9\n")):
+        write(folder / name, text)
+    assert sorted(map(tuple, readers.read_config(spark, str(folder)).collect())) == [("A", "3"), ("B", "1"), ("C", "9")]
     new = readers.read_config(spark, write(tmp_path / "new.conf", "A 5\nB three\nD 4\n"))
     rows = sorted(map(tuple, quality.config_difference(new, ref).collect()))
     assert rows == [("B", "three", "two"), ("D", "4", None)]
@@ -155,6 +160,9 @@ def test_upsert_update_lookup(spark):
     new = spark.createDataFrame([("b", 9, 9.0), ("c", 3, 3.0)], "tilename string, id int, rac1 double")
     assert sorted(map(tuple, tables.upsert(base, new, ["tilename"]).collect())) == [("a", 1, 1.0), ("b", 9, 9.0), ("c", 3, 3.0)]
     assert sorted(map(tuple, tables.update_columns(base, new, ["tilename"], ["rac1"]).collect())) == [("a", 1, 1.0), ("b", 2, 9.0)]
+    twice = new.union(spark.createDataFrame([("b", 8, 7.0)], new.schema))
+    assert sorted(map(tuple, tables.upsert(base, twice, ["tilename"]).collect())) == [("a", 1, 1.0), ("b", 8, 7.0), ("c", 3, 3.0)]
+    assert tables.update_columns(base, twice, ["tilename"], ["rac1"]).filter("tilename = 'b'").first()["rac1"] == 7.0
     assert tables.lookup_tiles(base, "a").count() == tables.lookup_tiles(base, ["b", "x"]).count() == 1
     assert tables.lookup_tiles(base, new).first()["tilename"] == "b"
 

@@ -4,7 +4,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from skyjoin.operators import lists, sampling, stats
+from skyjoin.operators import lists, ordering, quality, sampling, stats
 
 
 def test_exact_median_small_groups(spark):
@@ -18,7 +18,7 @@ def test_exact_median_small_groups(spark):
 
 
 @pytest.mark.parametrize("n", [40_001, 50_000])
-def test_exact_median_uses_a_bracket_in_large_groups(spark, n):
+def test_exact_median_of_large_groups(spark, n):
     df = spark.range(n).select(F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("g"), (F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 7).alias("v"))
     got = {r["g"]: r["median"] for r in stats.exact_median(df, ["g"], "v", accuracy=500).collect()}
     want = {r["g"]: r["m"] for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
@@ -72,3 +72,30 @@ def test_labels(spark):
         lists.require_unique_label(same.unionByName(spark.createDataFrame([("/a/x_cat.fits",)], "filepath_local string")))
     with pytest.raises(ValueError):
         lists.require_unique_label(same.limit(0))
+
+
+def test_planes_are_joined_once(spark):
+    a = spark.range(640).select(
+        F.concat(F.lit("f"), (F.col("id") % 2).cast("string")).alias("file"), F.lit(1).alias("hdu"), (F.col("id") / 2 / 16).cast("int").alias("y"),
+        ((F.col("id") / 2).cast("int") % 16).alias("x"), (F.col("id") % 7).cast("int").alias("value"))
+    b = a.filter("x <> 3").withColumn("value", F.when(F.col("y") % 2 == 0, F.col("value") + F.col("x")).otherwise(F.col("value")))
+    difference = quality.plane_difference(a, b)
+    got = {r["file"]: r for r in quality.plane_statistics(difference).collect()}
+    for file in ("f0", "f1"):
+        rows = [r["diff"] for r in difference.filter(F.col("file") == file).collect()]
+        differing = [d for d in rows if d]
+        assert (got[file]["n_pix"], got[file]["n_unpaired"], got[file]["n_diff"]) == (len(rows), rows.count(None), len(differing))
+        assert got[file]["diff_median"] == statistics.median(differing) and got[file]["diff_mean"] == pytest.approx(statistics.mean(differing))
+    same = quality.plane_statistics(quality.plane_difference(a, a)).first()
+    assert same["n_diff"] == 0 and same["diff_median"] is None and same["diff_mean"] is None
+
+
+def test_positions(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, 1.25, 1.5, 2.0, 77.0]), rng.choice("gri"), f"f{k}") for k in range(300)]
+    df = spark.createDataFrame(rows, "ra double, band string, filename string")
+    order = ["ra", "band", "filename"]
+    got = ordering.with_position(df, order, F.floor("ra"), F.floor(F.col("ra") * 2)).orderBy("position").collect()
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    assert [tuple(r)[:3] for r in got] == want and [r["position"] for r in got] == list(range(1, 301))
+    assert list(map(tuple, ordering.ordered(df, ["ra", "band"]).collect())) == want

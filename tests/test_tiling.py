@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from skyjoin.operators import tiling
+from skyjoin.operators import overlap, tiling
 
 
 @pytest.fixture(scope="module")
@@ -81,3 +81,31 @@ def test_filters_stay_above_the_projection(spark):
     conditions = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
     assert not any("ATAN2" in c for c in conditions)
     assert df.count() > 0
+
+
+def test_no_tile_spans_the_sky(tiles):
+    """Tiles whose flag and corners disagree about RA = 0 keep their flag and have true sizes."""
+    assert tiles.filter("ra_size > 180").count() == 0
+    one = tiles.filter("tilename = 'DES2358+0917'").first()
+    assert one["crossra0"] == "N" and one["racmin"] > one["racmax"] and one["ra_size"] == pytest.approx(0.74, abs=0.01)
+
+
+def test_positions_outside_the_grid_stay(spark):
+    home = tiling.home_tile(spark.createDataFrame([(1, 10.0, 89.0), (2, 10.0, 0.0)], "id int, ra_cent double, dec_cent double"))
+    rows = {r["id"]: r for r in home.collect()}
+    assert rows[1]["dec_row"] is None and rows[1]["ra_step"] is None and rows[2]["dec_row"] is not None
+
+
+def test_generated_tiles_are_broadcast(spark):
+    """Images are not exchanged for the join with the tile grid."""
+    images = spark.range(100_000_000).select(
+        F.col("id").alias("filename"), (F.col("id") % 360).cast("double").alias("ra_cent"), (F.col("id") % 60 - 50).cast("double").alias("dec_cent"),
+        F.lit(0.25).alias("ra_size"), F.lit(0.125).alias("dec_size"))
+    small = tiling.sky_tiling(spark).select("tilename", "ra_cent", "dec_cent", "ra_size", "dec_size")
+    plan = overlap.overlap_join(images, small)._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "Exchange hashpartitioning" not in plan
+    fine = tiling.TilingPlan(naxis=2000)
+    assert fine.tiles() > tiling.BROADCAST_TILES > tiling.TilingPlan().tiles() == 60943
+    large = tiling.sky_tiling(spark, fine).select("tilename", "ra_cent", "dec_cent", "ra_size", "dec_size")
+    plan = overlap.overlap_join(images, large)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
