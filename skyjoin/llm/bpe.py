@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import array
 import base64
 import functools
 import hashlib
@@ -20,8 +21,27 @@ from skyjoin.llm.common import blocks, text_bytes
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Bytes of a piece that are merged at once; longer pieces are halved.
 LEAF = 24
-#: Distinct chunks that a worker remembers.
-REMEMBERED = 300_000
+#: Distinct chunks, and distinct pieces, in each of the two generations that a worker remembers.
+REMEMBERED = 200_000
+
+
+class Memory:
+    """Results by key. When REMEMBERED are new, those of the generation before are forgotten but for the ones used since."""
+
+    def __init__(self):
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        found = self.new.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= REMEMBERED:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
 
 
 class Codec:
@@ -31,22 +51,21 @@ class Codec:
         self.ranks, self.leaf = ranks, leaf
         self.pieces = {i: b for b, i in ranks.items()}
         self.stays = functools.lru_cache(1 << 16)(self._stays)
-        self.seen: dict[bytes, tuple[bytes, bytes]] = {}
+        self.seen, self.words = Memory(), Memory()
 
     def merged(self, data: bytes) -> list[bytes]:
         """The tokens of a short piece, by merges from single bytes."""
         rank, none = self.ranks.get, 1 << 60
-        parts = [data[i : i + 1] for i in range(len(data))]
+        cuts = list(range(len(data) + 1))
         pairs = [rank(data[i : i + 2], none) for i in range(len(data) - 1)]
         while pairs and (best := min(pairs)) < none:
             at = pairs.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del pairs[at]
+            del cuts[at + 1], pairs[at]
             if at:
-                pairs[at - 1] = rank(parts[at - 1] + parts[at], none)
+                pairs[at - 1] = rank(data[cuts[at - 1] : cuts[at + 1]], none)
             if at < len(pairs):
-                pairs[at] = rank(parts[at] + parts[at + 1], none)
-        return parts
+                pairs[at] = rank(data[cuts[at] : cuts[at + 2]], none)
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _stays(self, a: bytes, b: bytes) -> bool:
         """Whether two tokens side by side encode to themselves. A row of tokens is the encoding of its bytes
@@ -103,7 +122,15 @@ class Codec:
     def encode(self, piece: bytes) -> list[int]:
         """Ids of a piece."""
         whole = self.ranks.get(piece)
-        return [whole] if whole is not None else [self.ranks[t] for t in self.reduced(piece)]
+        if whole is not None:
+            return [whole]
+        if len(piece) > 64:
+            return [self.ranks[t] for t in self.reduced(piece)]
+        ids = self.words.get(piece)
+        if ids is None:
+            ids = [self.ranks[t] for t in self.reduced(piece)]
+            self.words.put(piece, ids)
+        return ids
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of ids: those of the halves, one after the other."""
@@ -142,14 +169,12 @@ def encode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str, w
     own, pieces_of = codec(path), splitter(pattern).findall
     seen = own.seen
 
-    def encoded(chunk: bytes) -> tuple[bytes, bytes]:
-        """Ids of a chunk as 4-byte numbers, and as decimals."""
+    def encoded(chunk: bytes) -> tuple[bytes, bytes, bytes]:
+        """Ids of a chunk as 4-byte numbers, and as decimals; and the bytes that they decode to."""
         ids = [i for piece in pieces_of(chunk.decode()) for i in own.encode(piece.encode())]
-        found = np.array(ids, np.int32).tobytes(), " ".join(map(str, ids)).encode()
+        found = array.array("i", ids).tobytes(), " ".join(map(str, ids)).encode(), own.decode(ids)
         if len(chunk) <= 64:
-            if len(seen) >= REMEMBERED:
-                seen.clear()
-            seen[chunk] = found
+            seen.put(chunk, found)
         return found
 
     for block in blocks(batches):
@@ -158,8 +183,7 @@ def encode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str, w
         chunks = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)]).dictionary_encode()
         codes, distinct = np.asarray(chunks.indices), chunks.dictionary.to_pylist()
         found = [seen.get(chunk) or encoded(chunk) for chunk in distinct]
-        decimals, binary = [x[1] for x in found], [x[0] for x in found]
-        decoded = [own.decode(np.frombuffer(x, np.int32).tolist()) for x in binary]
+        binary, decimals, decoded = zip(*found, strict=True) if found else ((), (), ())
         sizes = np.array([len(x) // 4 for x in binary], np.int64)[codes]
         bounds = np.searchsorted(starts, offsets)
         totals = np.concatenate([[0], np.cumsum(sizes)])[bounds]
