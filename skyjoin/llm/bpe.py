@@ -22,7 +22,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Bytes of a piece that are merged at once; longer pieces are halved.
 LEAF = 24
 #: Distinct chunks, and distinct pieces, in each of the two generations that a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 class Memory:
@@ -124,12 +124,11 @@ class Codec:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(piece) > 64:
-            return [self.ranks[t] for t in self.reduced(piece)]
         ids = self.words.get(piece)
         if ids is None:
             ids = [self.ranks[t] for t in self.reduced(piece)]
-            self.words.put(piece, ids)
+            if len(piece) <= 64:
+                self.words.put(piece, ids)
         return ids
 
     def decode(self, ids: list[int]) -> bytes:
@@ -172,7 +171,9 @@ def encode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str, w
     def encoded(chunk: bytes) -> tuple[bytes, bytes, bytes]:
         """Ids of a chunk as 4-byte numbers, and as decimals; and the bytes that they decode to."""
         ids = [i for piece in pieces_of(chunk.decode()) for i in own.encode(piece.encode())]
-        found = array.array("i", ids).tobytes(), " ".join(map(str, ids)).encode(), own.decode(ids)
+        decoded = own.decode(ids)
+        # equal bytes are held once
+        found = array.array("i", ids).tobytes(), " ".join(map(str, ids)).encode(), chunk if decoded == chunk else decoded
         if len(chunk) <= 64:
             seen.put(chunk, found)
         return found

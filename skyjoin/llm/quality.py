@@ -8,9 +8,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from skyjoin.llm.common import Words, blocks
 
+#: Bytes of text in a block; ranks of a word's suffix take several numbers a word.
+BLOCK = 1 << 20
 #: Repeats count from this many words.
 LEAST = 5
 #: The method's limits: share of a text's word characters in repeats, and words in the longest repeat.
@@ -90,8 +93,15 @@ def repeat_lengths(codes: np.ndarray, counts: np.ndarray, least: int = LEAST) ->
     return longest
 
 
+def with_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches whose text is that of their row, where they have no other."""
+    for batch in batches:
+        names = batch.schema.names
+        yield batch if "text" in names else pa.RecordBatch.from_arrays([*batch.columns, batch.column("row").field("text")], [*names, "text"])
+
+
 def rule_batches(batches: Iterator[pa.RecordBatch], most_covered: float, most_words: int) -> Iterator[pa.RecordBatch]:
-    for block in blocks(batches):
+    for block in blocks(with_text(batches), BLOCK):
         words = Words(block.column("text"))
         n, counts = len(words), words.counts
         longest = repeat_lengths(words.coded[0], counts)
@@ -139,6 +149,8 @@ def quality_rules(documents: DataFrame, *, most_covered: float = MOST_COVERED, m
     docs = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.struct(*[F.col(c) for c in columns]).alias("row") if columns else F.lit(0).alias("row"),
         F.col("text").cast("string").alias("text"))
+    if "text" in columns and isinstance(documents.schema["text"].dataType, StringType):
+        docs = docs.drop("text")  # the row has it
     kind = docs.schema["row"].dataType.simpleString()
     return docs.mapInArrow(
         lambda batches: rule_batches(batches, most_covered, most_words),
