@@ -36,9 +36,10 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes its words, to the nearest whole number of times: 0 to 3."""
-    taken = mixing.mix(docs, Stage(spark, "pipeline"))
-    times = taken.select("doc_id", F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(F.lit(0)).cast("int").alias("times"))
+    """Each document as often as the mix takes its words, a whole number of times: 0 to 3. Numbers are rounded along
+    each source, so the words of a source are as many as the mix takes, give or take half its longest document."""
+    stage = Stage(spark, "pipeline")
+    times = mixing.whole_times(mixing.mix(docs, stage), stage)
     times = times.groupBy(F.col("doc_id").alias("taken_id")).agg(F.min("times").alias("times")).where("times > 0")
     rows = docs.join(times, F.col("doc_id").eqNullSafe(F.col("taken_id")))
     return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(docs.columns)

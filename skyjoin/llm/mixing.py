@@ -13,6 +13,8 @@ BLOCKS, SHARDS = 65_536, 16
 #: How often a source, and so a document, may be taken at most.
 MOST = 3
 SEED = 11
+#: Layers of documents, by number of words, to a doubling; documents in a part of a layer; fractions of a document.
+LAYERS, PART, ONE = 4, 4096, 1 << 30
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -129,3 +131,30 @@ def mix(documents: DataFrame, stage: Stage, *, blocks: int = BLOCKS, shards: int
         placed = placed.withColumn(f"{edge}_words", F.coalesce(F.col(f"{edge}_before") + part, F.lit(0)))
     extra = F.when(F.col("size") > 0, F.col("end_words") - F.col("start_words")).otherwise(F.lit(0))
     return placed.select("doc_id", "source", "size", "source_size", "target", (F.col("passes") * F.col("size") + extra).cast("long").alias("taken"))
+
+
+def whole_times(taken: DataFrame, stage: Stage, *, key: str = "doc_id", seed: int = SEED) -> DataFrame:
+    """key, times for each row of mix's result that has words: how often to take the row as a whole.
+
+    times is taken / size or a neighbour of it, rounded along the source and not row by row: rows stand in order
+    of size, largest layer first, and the running sum of taken / size is rounded. It is off by half a row at
+    most, so where sizes fall all along, the words of a source are off by half its longest row at most. A layer
+    of more than PART rows is cut by hash of key into parts; each part has falling sizes, which adds a ten
+    thousandth of the source's words at most. Rows of the same size stand by hash of key. Sums are of whole
+    numbers, and no task holds more than a part; rows that share a key share a part.
+    """
+    rows = stage.write(taken.where("size > 0").select(
+        F.col(key).alias("key"), "source", "size", F.expr("taken div size").alias("times"), F.expr(f"((taken % size) * {ONE}L) div size").alias("share"),
+        (-F.floor(F.log2("size") * LAYERS)).alias("layer"), F.xxhash64(F.lit(seed), F.col(key)).alias("drawn")), "shares")
+    layers = rows.groupBy(F.col("source").alias("of"), F.col("layer").alias("in")).agg(F.ceil(F.count("*") / PART).alias("parts"))
+    rows = rows.join(layers, F.col("source").eqNullSafe(F.col("of")) & (F.col("layer") == F.col("in"))).drop("of", "in")
+    rows = stage.write(rows.withColumn("part", F.pmod("drawn", "parts")), "parts")
+    sums = rows.groupBy(F.col("source").alias("of"), F.col("layer").alias("in"), F.col("part").alias("at")).agg(F.sum("share").alias("shares"))
+    by_part = W.partitionBy("of").orderBy("in", "at")
+    offsets = sums.select("of", "in", "at", (F.sum("shares").over(by_part) - F.col("shares")).alias("offset"))
+    within = W.partitionBy("source", "layer", "part").orderBy(F.desc("size"), "drawn").rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumn("upto", F.sum("share").over(within)).join(
+        offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("layer") == F.col("in")) & (F.col("part") == F.col("at")))
+    end = F.col("offset") + F.col("upto") + ONE // 2
+    more = F.shiftright(end, 30) - F.shiftright(end - F.col("share"), 30)
+    return rows.select(F.col("key").alias(key), (F.col("times") + more).cast("int").alias("times"))

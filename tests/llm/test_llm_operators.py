@@ -148,6 +148,26 @@ def test_mix_of_a_hot_source(spark, stage):
     check_mix(rows, {r[2] for r in rows}, got, 2 * -(-sum(len(brute.words(r[1])) for r in rows) // 500))
 
 
+def test_whole_times_keep_the_words_of_each_source(spark, stage, monkeypatch):
+    """Documents of many sizes with the same share: the words of a source are off by half its longest document."""
+    rows = [(k, f"s{k % 5}", 1 + k * k % 700, 0) for k in range(400)] + [(None, "s0", 0, 0), (900, None, 40, 13), (None, None, 41, 100)]
+    rows = [(i, s, n, t or n * (29, 40, 53, 163, 300)[int(s[1])] // 100) for i, s, n, t in rows if s] + rows[-2:]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, taken long")
+    size = {(i, s): (n, t) for i, s, n, t in rows}
+    source = {i: s for i, s, n, _ in rows if n}
+    for part, slack in ((4096, 0.5), (8, 2)):
+        monkeypatch.setattr(mixing, "PART", part)
+        got = mixing.whole_times(df.repartition(3), stage).collect()
+        assert len(got) == sum(n > 0 for _, _, n, _ in rows)
+        off, longest = Counter(), Counter()
+        for r in got:
+            n, t = size[r.doc_id, source[r.doc_id]]
+            assert t // n <= r.times <= -(-t // n)
+            off[source[r.doc_id]] += r.times * n - t
+            longest[source[r.doc_id]] = max(longest[source[r.doc_id]], n)
+        assert all(abs(off[s]) <= slack * longest[s] + 1 for s in off)
+
+
 def adpcm(data):
     """One block, sample by sample."""
     sample, index, out = int.from_bytes(data[:2], "little", signed=True), min(data[2], 88), []

@@ -13,7 +13,7 @@ from tiktoken.load import load_tiktoken_bpe
 
 import __spark_entry__ as entry_module
 from registry.check import compare
-from skyjoin.llm import bpe
+from skyjoin.llm import bpe, mixing
 from skyjoin.llm.oracle import ORACLE
 from skyjoin.llm.queries import QUERIES
 
@@ -81,6 +81,19 @@ def test_pipeline(spark):
     check_stages(stages(spark, spark.read.parquet(f"{SF}/documents.parquet")))
 
 
+def test_mix_meets_the_targets_with_documents_longer_than_blocks(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    sizes, longest, taken = Counter(), Counter(), Counter()
+    for r in docs.collect():
+        n = len(brute.words(r.text))
+        sizes[r.source] += n
+        longest[r.source] = max(longest[r.source], n)
+    for r in corpus_pipeline.mix_sources(spark, docs, SF).collect():
+        taken[r.source] += len(brute.words(r.text))
+    block = -(-sum(sizes.values()) // mixing.BLOCKS)
+    assert all(abs(taken[s] - target) <= longest[s] / 2 + 2 * block for s, target in brute.targets(sizes).items())
+
+
 def test_pipeline_of_hard_cases(spark):
     rows = [r for r in brute.hard_rows() if r[0] != 11]
     rows += [(40, brute.prose(9, 50), "en", "d", 9), (40, brute.prose(9, 50), "en", "d", 9), (40, brute.prose(10, 50), "en", "d", 9)]
