@@ -37,12 +37,14 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes its words, a whole number of times: 0 to 3. Numbers are rounded along
-    each source, so the words of a source are as many as the mix takes, give or take half its longest document."""
+    each source, so the words of a source are as many as the mix takes, give or take half its longest document. Every row
+    counts by itself: rows that share a doc_id, or have none, may be taken differently."""
     stage = Stage(spark, "pipeline")
-    times = mixing.whole_times(mixing.mix(docs, stage), stage)
-    times = times.groupBy(F.col("doc_id").alias("taken_id")).agg(F.min("times").alias("times")).where("times > 0")
-    rows = docs.join(times, F.col("doc_id").eqNullSafe(F.col("taken_id")))
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(docs.columns)
+    # written, because a row's number must be the same in the mix and in the join
+    rows = stage.write(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("number")), "rows")
+    taken = mixing.mix(rows.select("doc.doc_id", "doc.text", "doc.source", "number"), stage, columns=("number",))
+    times = mixing.whole_times(taken.select("doc_id", "row.number", "source", "size", "taken"), stage, key="number").where("times > 0")
+    return rows.join(times, "number").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,8 +65,9 @@ def block_quotas(targets: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS,
         "source", "source_size", "target", "block_size", F.coalesce("quota", F.lit(0)).alias("quota"), "shard_quotas")
 
 
-def mix(documents: DataFrame, stage: Stage, *, blocks: int = BLOCKS, shards: int = SHARDS, most: int = MOST, seed: int = SEED, buckets: int | None = None) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken for each row of documents (doc_id, text, source).
+def mix(documents: DataFrame, stage: Stage, *, blocks: int = BLOCKS, shards: int = SHARDS, most: int = MOST, seed: int = SEED, buckets: int | None = None, columns: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken for each row of documents (doc_id, text, source), and row,
+    a struct of the named columns of documents, if any are named.
 
     size counts words. Each source's documents stand in an order drawn by MD5 of seed and doc_id, end to end,
     and are cut into blocks of block_size words. The source gives quota * block_size words: whole passes over
@@ -86,7 +87,9 @@ def mix(documents: DataFrame, stage: Stage, *, blocks: int = BLOCKS, shards: int
     drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     sized = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"), drawn.alias("drawn"))
+        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"), drawn.alias("drawn"),
+        *([F.struct(*columns).alias("row")] if columns else []))
+    row = ["row"] if columns else []
     # a bucket is a range of the order
     bucket = F.floor(F.conv(F.substring("drawn", 1, 8), 16, 10).cast("long") * buckets / F.lit(1 << 32)).cast("long")
     sized = stage.write(sized.withColumn("bucket", bucket), "sizes")
@@ -120,7 +123,7 @@ def mix(documents: DataFrame, stage: Stage, *, blocks: int = BLOCKS, shards: int
     other = plan.select(F.col("source").alias("of"), "source_size", "target", "block_size", "passes")
     placed = placed.join(other, F.col("source").eqNullSafe(F.col("of")))
     end = F.col("offset") + F.col("upto")
-    placed = placed.select("doc_id", "source", "size", "source_size", "target", "block_size", "passes", (end - F.col("size")).alias("start"), end.alias("end"))
+    placed = placed.select("doc_id", "source", "size", *row, "source_size", "target", "block_size", "passes", (end - F.col("size")).alias("start"), end.alias("end"))
     # words of drawn blocks up to a place: those of the blocks before, and the part of its own
     for edge in ("start", "end"):
         edges = drawn_blocks.select(F.col("source").alias("of"), F.col("block").alias("at"), F.col("chosen").alias(f"{edge}_chosen"), F.col("before").alias(f"{edge}_before"))
@@ -130,7 +133,7 @@ def mix(documents: DataFrame, stage: Stage, *, blocks: int = BLOCKS, shards: int
         part = F.when(F.col(f"{edge}_chosen"), F.col(edge) - F.col(f"{edge}_block") * F.col("block_size")).otherwise(F.lit(0))
         placed = placed.withColumn(f"{edge}_words", F.coalesce(F.col(f"{edge}_before") + part, F.lit(0)))
     extra = F.when(F.col("size") > 0, F.col("end_words") - F.col("start_words")).otherwise(F.lit(0))
-    return placed.select("doc_id", "source", "size", "source_size", "target", (F.col("passes") * F.col("size") + extra).cast("long").alias("taken"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", (F.col("passes") * F.col("size") + extra).cast("long").alias("taken"), *row)
 
 
 def whole_times(taken: DataFrame, stage: Stage, *, key: str = "doc_id", seed: int = SEED) -> DataFrame:
@@ -139,13 +142,13 @@ def whole_times(taken: DataFrame, stage: Stage, *, key: str = "doc_id", seed: in
     times is taken / size or a neighbour of it, rounded along the source and not row by row: rows stand in order
     of size, largest layer first, and the running sum of taken / size is rounded. It is off by half a row at
     most, so where sizes fall all along, the words of a source are off by half its longest row at most. A layer
-    of more than PART rows is cut by hash of key into parts; each part has falling sizes, which adds a ten
-    thousandth of the source's words at most. Rows of the same size stand by hash of key. Sums are of whole
-    numbers, and no task holds more than a part; rows that share a key share a part.
+    of more than PART rows is cut by hash of doc_id into parts; each part has falling sizes, which adds a ten
+    thousandth of the source's words at most. Rows of the same size stand by that hash too; without a doc_id the
+    key, a number, is hashed. Sums are of whole numbers, and a window holds a part; rows of one doc_id share it.
     """
     rows = stage.write(taken.where("size > 0").select(
         F.col(key).alias("key"), "source", "size", F.expr("taken div size").alias("times"), F.expr(f"((taken % size) * {ONE}L) div size").alias("share"),
-        (-F.floor(F.log2("size") * LAYERS)).alias("layer"), F.xxhash64(F.lit(seed), F.col(key)).alias("drawn")), "shares")
+        (-F.floor(F.log2("size") * LAYERS)).alias("layer"), F.xxhash64(F.lit(seed), F.coalesce("doc_id", key)).alias("drawn")), "shares")
     layers = rows.groupBy(F.col("source").alias("of"), F.col("layer").alias("in")).agg(F.ceil(F.count("*") / PART).alias("parts"))
     rows = rows.join(layers, F.col("source").eqNullSafe(F.col("of")) & (F.col("layer") == F.col("in"))).drop("of", "in")
     rows = stage.write(rows.withColumn("part", F.pmod("drawn", "parts")), "parts")

@@ -94,6 +94,18 @@ def test_mix_meets_the_targets_with_documents_longer_than_blocks(spark):
     assert all(abs(taken[s] - target) <= longest[s] / 2 + 2 * block for s, target in brute.targets(sizes).items())
 
 
+def test_mix_counts_rows_without_or_with_one_doc_id_each_by_itself(spark):
+    rows = [(None if k % 3 else 7 + k % 2, brute.prose(k, 20 + k % 11), "en", f"s{k % 2}", k) for k in range(120)] + [(None, None, "en", "s0", 0), (None, " ", "en", "s1", 1), (7, "", "en", "s1", 1)]
+    mixed = Counter(corpus_pipeline.mix_sources(spark, spark.createDataFrame(rows, brute.DOCUMENT).repartition(3), SF).collect())
+    assert {tuple(r) for r in mixed} <= {r for r in rows if brute.words(r[1])} and max(mixed.values()) <= 3
+    sizes, taken = Counter(), Counter()
+    for r in rows:
+        sizes[r[3]] += len(brute.words(r[1]))
+    for r, n in mixed.items():
+        taken[r.source] += n * len(brute.words(r.text))
+    assert all(abs(taken[s] - target) <= 17 for s, target in brute.targets(sizes).items())
+
+
 def test_pipeline_of_hard_cases(spark):
     rows = [r for r in brute.hard_rows() if r[0] != 11]
     rows += [(40, brute.prose(9, 50), "en", "d", 9), (40, brute.prose(9, 50), "en", "d", 9), (40, brute.prose(10, 50), "en", "d", 9)]
