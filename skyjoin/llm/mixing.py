@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from skyjoin.llm.common import Stage
 
-#: Blocks that the whole mix has, and shards that it is dealt to. Both bound every table below but the documents'.
+#: Blocks that the whole mix has, and shards that it is dealt to. Both and the number of sources bound every table
+#: below but the documents'.
 BLOCKS, SHARDS = 65_536, 16
+#: Blocks that a target has at least: a source with fewer has smaller blocks of its own, down to a word.
+FEWEST = 64
 #: How often a source, and so a document, may be taken at most.
 MOST = 3
 SEED = 11
@@ -50,13 +53,25 @@ def block_quotas(targets: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS,
     quotient target / (2 * blocks held + 1); ties go to the smaller source. The first shard's blocks are the
     first dealt, and so on, which apportions every shard's part too. A source bids for as many blocks as
     its target holds and two more, so all bids are few more than blocks and sources.
+
+    A source whose target is under FEWEST such blocks takes no part in that. It has blocks of its own, of a
+    FEWEST-th of its target or one word, as many as come nearest to the target and dealt evenly to the shards;
+    what is left of all words makes the other blocks. A target is a third of an even share at least or three
+    times its source, so such sources together have some hundred blocks for each source.
     """
     size = F.greatest(F.ceil(F.col("total") / blocks), F.lit(1)).cast("long")
-    sized = targets.withColumn("block_size", size)
-    bids = sized.select("source", "target", "block_size", F.ceil(F.col("total") / F.col("block_size")).alias("all_blocks"),
+    sized = targets.withColumn("common", size).withColumn("own", F.col("target") < FEWEST * F.when(F.col("common") > 1, F.col("common")).otherwise(F.lit(0)))
+    own_size = F.greatest(F.floor(F.col("target") / FEWEST), F.lit(1)).cast("long")
+    own_words = F.coalesce(F.sum(F.when(F.col("own"), F.col("target"))).over(W.partitionBy()), F.lit(0.0))
+    sized = sized.withColumn("block_size", F.when(F.col("own"), own_size).otherwise(F.col("common"))).withColumn("all_blocks", F.ceil((F.col("total") - own_words) / F.col("common")))
+    bids = sized.where("target > 0 AND NOT own").select("source", "target", "all_blocks",
                         F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("target") / F.col("block_size")) + 1)).alias("held"))
     order = W.orderBy(F.desc(F.col("target") / (2 * F.col("held") + 1)), F.col("source").asc_nulls_last(), "held")
-    dealt = bids.where("target > 0").withColumn("seat", F.row_number().over(order)).where("seat <= all_blocks")
+    dealt = bids.withColumn("seat", F.row_number().over(order)).where("seat <= all_blocks").select("source", "seat", "all_blocks")
+    own_quota = F.round(F.col("target") / F.col("block_size")).cast("long")
+    apart = sized.where("own").withColumn("all_blocks", own_quota).where("all_blocks > 0").select(
+        "source", F.explode(F.sequence(F.lit(1).cast("long"), F.col("all_blocks"))).alias("seat"), "all_blocks")
+    dealt = dealt.unionByName(apart)
     shard = F.floor((F.col("seat") - 1) * shards / F.col("all_blocks")).cast("int")
     by_shard = dealt.groupBy("source", shard.alias("shard")).agg(F.count("*").alias("quota"))
     quotas = by_shard.groupBy("source").agg(F.sum("quota").alias("quota"), F.array_sort(F.collect_list(F.struct("shard", "quota"))).alias("shard_quotas"))

@@ -148,6 +148,25 @@ def test_mix_of_a_hot_source(spark, stage):
     check_mix(rows, {r[2] for r in rows}, got, 2 * -(-sum(len(brute.words(r[1])) for r in rows) // 500))
 
 
+def test_mix_of_sources_smaller_than_a_block(spark, stage):
+    """Every source comes near its target, also where that is less than half a block or little more."""
+    rows = [(k, brute.prose(k, 40), "large") for k in range(500)] + [(1000 + k, brute.prose(k, 10), f"small{k}") for k in range(9)]
+    rows += [(2000 + k, brute.prose(k, 25), f"t{k % 3}") for k in range(12)] + [(3000, brute.prose(1, 1), None), (3001, None, "z")]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), stage, blocks=50).collect()
+    check_mix(rows, {r[2] for r in rows}, got, 800)
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert all(abs(taken[s] - t) <= t / 32 + 1 for s, t in target.items())
+
+
+def test_mix_of_small_sources_alone(spark, stage):
+    rows = [(k, brute.prose(k, 20 + k % 7), f"s{k:03d}") for k in range(200)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), stage, blocks=50).collect()
+    check_mix(rows, {r[2] for r in rows}, got, 2)
+
+
 def test_whole_times_keep_the_words_of_each_source(spark, stage, monkeypatch):
     """Documents of many sizes with the same share: the words of a source are off by half its longest document."""
     rows = [(k, f"s{k % 5}", 1 + k * k % 700, 0) for k in range(400)] + [(None, "s0", 0, 0), (900, None, 40, 13), (None, None, 41, 100)]
