@@ -127,19 +127,19 @@ def inputs_of_one_tile(t):
 @query
 def tile_inputs_by_file(t):
     rows = _pairs(t).select("tilename", "band", "filename")
-    return ordering.with_position(rows, ["tilename", "band", "filename"], F.col("tilename"), F.col("band"))
+    return ordering.with_position(rows, ["tilename", "band", "filename"])
 
 
 @query
 def images_by_ra(t):
     rows = t.sky_image.select("ra_cent", "band", "filename")
-    return ordering.with_position(rows, ["ra_cent", "band", "filename"], F.floor("ra_cent"), F.floor(F.col("ra_cent") * 60))
+    return ordering.with_position(rows, ["ra_cent", "band", "filename"])
 
 
 @query
 def tile_inputs_by_detector(t):
     rows = _pairs(t).select("ccdnum", "tilename", "filename")
-    return ordering.with_position(rows, ["ccdnum", "tilename", "filename"], F.col("ccdnum"), F.col("tilename"))
+    return ordering.with_position(rows, ["ccdnum", "tilename", "filename"])
 
 
 def _pairs(t):

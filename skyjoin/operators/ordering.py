@@ -5,31 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyjoin.sources.staging import staged
+
 
 def ordered(df: DataFrame, keys: list[str], ties: list[str] = ["filename"]) -> DataFrame:
     """Rows in the order of ``keys``; ``ties`` make it complete. Spark sorts by ranges, in all tasks."""
     return df.orderBy(*keys, *ties)
 
 
-def with_position(df: DataFrame, order: list[str], cell: Column, part: Column, name: str = "position") -> DataFrame:
-    """Place of each row, from 1, in the order of all ``order`` columns.
+def with_position(df: DataFrame, order: list[str | Column], name: str = "position") -> DataFrame:
+    """Place of each row, from 1, in the order of ``order``.
 
-    ``cell`` grows with the order, and ``part`` grows with it inside a cell: a band and a
-    detector, or whole degrees and minutes. Rows are counted per part, combined before
-    the shuffle; running sums over cells and over a cell's parts give each part its first
-    place, and only rows of one part are ordered in one task. So cells, the parts of a
-    cell and the rows of a part should each be few enough for one task.
+    Ranges of the order are sorted by one task each and stored, which is the only time that
+    ``df`` is computed beside the sample that the ranges come from. A stored file is one
+    range, so a row's place is its number in the file after the rows of the files before
+    it; these are counted from file footers, one row a file. The ranges come from the data:
+    a complete order keeps them even, whatever its first columns are like. Rows alike in all
+    of ``order`` follow each other in no set order. Reads rows by file and number, so a
+    column of ``df`` can't be called ``_metadata``.
     """
-    rows = df.withColumns({"_cell": cell, "_part": part})
-    counts = rows.groupBy("_cell", "_part").agg(F.count(F.lit(1)).alias("_n"))
-
-    def before(window):
-        return F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-
-    cells = counts.groupBy("_cell").agg(F.sum("_n").alias("_n")).select(F.col("_cell").alias("_c"), before(Window.orderBy("_cell")).alias("_cells"))
-    parts = counts.select("_cell", "_part", before(Window.partitionBy("_cell").orderBy("_part")).alias("_parts"))
-    first = parts.join(cells, F.col("_cell").eqNullSafe(F.col("_c"))).select(
-        F.col("_cell").alias("_c"), F.col("_part").alias("_p"), (F.col("_cells") + F.col("_parts")).alias("_first"))
-    place = F.row_number().over(Window.partitionBy("_cell", "_part").orderBy(*order))
-    placed = rows.withColumn("_place", place).join(first, F.col("_cell").eqNullSafe(F.col("_c")) & F.col("_part").eqNullSafe(F.col("_p")))
-    return placed.select(*df.columns, (F.col("_first") + F.col("_place")).alias(name))
+    stored = staged(df.repartitionByRange(*order).sortWithinPartitions(*order), "ordered")
+    file = F.col("_metadata.file_name")
+    # part-<range>-<job>-c<number>: a range may be cut into several files
+    cut = F.struct(*[F.regexp_extract(file, pattern, 1).cast("int") for pattern in (r"^part-(\d+)", r"-c(\d+)\.")])
+    before = Window.orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
+    files = stored.groupBy(file.alias("_file"), cut.alias("_cut")).agg(F.count(F.lit(1)).alias("_n"))
+    first = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    rows = stored.withColumns({"_name": file, "_row": F.col("_metadata.row_index")})
+    # a row for each stored file
+    placed = rows.join(F.broadcast(first), F.col("_name") == F.col("_file"))
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_first") + F.col("_row") + 1).alias(name))

@@ -95,7 +95,25 @@ def test_positions(spark):
     rows = [(rng.choice([None, 1.25, 1.5, 2.0, 77.0]), rng.choice("gri"), f"f{k}") for k in range(300)]
     df = spark.createDataFrame(rows, "ra double, band string, filename string")
     order = ["ra", "band", "filename"]
-    got = ordering.with_position(df, order, F.floor("ra"), F.floor(F.col("ra") * 2)).orderBy("position").collect()
+    got = ordering.with_position(df, order).orderBy("position").collect()
     want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
     assert [tuple(r)[:3] for r in got] == want and [r["position"] for r in got] == list(range(1, 301))
     assert list(map(tuple, ordering.ordered(df, ["ra", "band"]).collect())) == want
+
+
+def test_positions_of_ranges_cut_into_files(spark):
+    df = spark.range(5_000).select((F.col("id") * 7919 % 5_000).alias("k"), F.lit("x").alias("a b"))
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 100)
+    try:
+        got = ordering.with_position(df, [F.col("k").desc()])
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert got.columns == ["k", "a b", "position"] and len(got.inputFiles()) >= 50
+    assert got.filter("position <> 5000 - k").count() == 0 and got.count() == 5_000
+
+
+def test_positions_compute_the_input_once(spark):
+    rows = spark.range(100).select(F.col("id"), F.rand(1).alias("drawn"))
+    plan = ordering.with_position(rows, ["drawn", "id"])._jdf.queryExecution().toString()
+    assert "Range (" not in plan and "rand(" not in plan
+    assert ordering.with_position(rows.limit(0), ["drawn", "id"]).collect() == []
