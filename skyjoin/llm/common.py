@@ -7,7 +7,6 @@ so texts are cut as bytes, a block of texts at a time, without a loop over words
 from __future__ import annotations
 
 import functools
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -17,6 +16,8 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
+from skyjoin.sources.staging import shared_folder
+
 #: Bytes of text that a Python worker holds as numpy arrays at a time. One longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
 
@@ -28,17 +29,6 @@ LOWER[65:91] += 32
 
 # ---- staged tables
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only in local mode where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
 class Stage:
     """Tables that a job writes as Parquet in the shared folder, to cut lineage and to read a result twice."""
 
