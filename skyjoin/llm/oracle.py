@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import string
 
-from skyjoin.llm import mixing, quality
+from skyjoin.llm import hard_negatives, importance, mixing, quality
 
 WORD = r"[^\x20\x09-\x0D]+"
+LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Links of all pairs that share a shingle, then the smallest doc_id reachable.
 NEAR_DUPLICATES = f"""
@@ -111,7 +113,56 @@ select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
 from counts
 """
 
+#: CRC-32 bit by bit over the bytes of each distinct word; gains by bucket; weights as plain sums.
+IMPORTANCE = f"""
+with texts as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{LETTERS}') as w from documents
+), counted as (select doc_id, word, count(*) as n from (select doc_id, unnest(w) as word from texts) group by 1, 2),
+target as (
+  select unnest(regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{LETTERS}')) as word from benchmark
+), spelt as (
+  select word, hex(encode(word)) as code from (select word from counted union select word from target)
+), sums as (
+  select word, xor(4294967295::bigint, list_reduce(
+    [4294967295::bigint] || flatten(list_transform(range(0, length(code) // 2), lambda i: [('0x' || substr(code, (2 * i + 1)::integer, 2))::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, x: case when x >= 0 then xor(c, x) when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end)) % {importance.BUCKETS} as bucket from spelt
+), s as (select bucket, sum(n)::double as n from counted join sums using (word) group by 1),
+t as (select bucket, count(*)::double as n from target join sums using (word) group by 1),
+gains as (
+  select bucket, floor(1000 * ln((coalesce(t.n, 0) + 1) * (coalesce((select sum(n) from s), 0) + {importance.BUCKETS})
+    / ((coalesce(s.n, 0) + 1) * (coalesce((select sum(n) from t), 0) + {importance.BUCKETS}))))::bigint as gain from s full join t using (bucket)
+), weights as (select doc_id, sum(n * gain)::bigint as weight from counted join sums using (word) join gains using (bucket) group by 1),
+scored as (
+  select doc_id, len(w)::bigint as n_features, coalesce(weight, 0)::bigint as weight, coalesce(weight, 0)::bigint
+    + floor(-1000 * ln(-ln((('0x' || substr(sha256('{importance.SEED}:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+  from texts left join weights using (doc_id)
+), ranked as (
+  select doc_id, row_number() over (order by score desc, doc_id) as place from scored where n_features >= 20
+)
+select doc_id, n_features, weight, score, case when place <= 10 * (select count(*) from ranked) // 100 then place end as rank
+from scored left join ranked using (doc_id)
+"""
+
+#: Every anchor against every row.
+HARD_NEGATIVES = f"""
+with valid as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * x::double)) as v
+  from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), pairs as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score from valid a join valid b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from pairs where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+), ranked as (
+  select anchor_id, positive_id, positive_score, n.vec_id as negative_id, n.score as negative_score,
+    row_number() over (partition by anchor_id, positive_id order by n.score desc, n.vec_id) as rank
+  from positives join pairs n using (anchor_id) where not n.same and 50 * positive_score <= 100 * n.score and 100 * n.score <= 95 * positive_score
+)
+select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score from ranked where rank <= 3
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_importance_resampling": IMPORTANCE,
+    "op12_hard_negatives": HARD_NEGATIVES,
     "op1_near_duplicates": NEAR_DUPLICATES,
     "op4_substring_dedup": SUBSTRINGS,
     "op6_source_mix": MIX,

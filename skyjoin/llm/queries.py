@@ -1,11 +1,11 @@
-"""Queries op1 to op10 and the pipeline over the given tables."""
+"""Queries op1 to op13 and the pipeline over the given tables."""
 
 from __future__ import annotations
 
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from skyjoin.llm import bpe, licences, lm, mixing, near_dup, quality, shards, substrings, telephony
+from skyjoin.llm import bpe, hard_negatives, importance, licences, lm, mixing, near_dup, quality, sentence_pieces, shards, substrings, telephony
 from skyjoin.llm.common import Stage
 from skyjoin.llm.token_counts import token_counts
 
@@ -54,6 +54,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(documents(spark, sf_dir), Stage(spark, "op10"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return importance.resample(documents(spark, sf_dir), benchmark, Stage(spark, "op11")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), Stage(spark, "op12"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.encode(documents(spark, sf_dir), with_spans=False).drop("pieces")
+
+
 QUERIES = {
     "op1_near_duplicates": op1,
     "op2_byte_bpe": op2,
@@ -65,5 +78,8 @@ QUERIES = {
     "op8_quality_rules": op8,
     "op9_licence_scan": op9,
     "op10_lm_scores": op10,
+    "op11_importance_resampling": op11,
+    "op12_hard_negatives": op12,
+    "op13_sentence_pieces": op13,
     "pipeline": corpus_pipeline.run,
 }
