@@ -218,21 +218,32 @@ class Model:
             self.byte_ids[self.bytes_of[number]] = number
 
     def safe_cuts(self) -> np.ndarray:
-        """Bytes after which a space always starts a piece of its own accord, so a text can be cut in front of it.
+        """Pairs of bytes between which a text can be cut: what lies on both sides is encoded as it would be alone.
 
-        That holds if the map changes no string with a space, if no piece has the mark after another character, and
-        if what the byte belongs to is not replaced by nothing or by something that ends with a space.
+        Where only spaces change, these are all pairs that no piece has side by side, as no merge can lie across
+        them. Otherwise a text is cut only in front of spaces, if the map changes no string with a space, if no
+        piece has the mark after another character, and if what the byte before belongs to is not replaced by
+        nothing or by something that ends with a space.
         """
-        safe = np.ones(256, bool)
-        safe[[0x20, MARK[-1]]] = False
-        mark = MARK.decode()
-        inside = any(mark in piece.lstrip(mark) for piece in self.ids)
+        mark, safe = MARK.decode(), np.zeros((256, 256), bool)
+        if self.plain:
+            together = {pair for piece in self.ids for text in (piece.encode(), piece.replace(mark, " ").encode()) for pair in zip(text, text[1:])}
+            safe[:] = True
+            safe[tuple(zip(*together))] = False
+            # a mark in the text beside a space, and the inside of characters
+            safe[0x20, MARK[0]] = safe[MARK[-1], 0x20] = False
+            safe[:, 0x80:0xC0] = False
+            return safe
+        before = np.ones(256, bool)
+        before[[0x20, MARK[-1]]] = False
         changed = list(self.normalise.map.entries())
+        inside = any(mark in piece.lstrip(mark) for piece in self.ids)
         if inside or mark not in self.ids or self.normalise.space != MARK or any(b" " in key for key, _ in changed):
-            safe[:] = False
+            before[:] = False
         for key, text in changed:
             if not text or text.endswith((b" ", MARK)):
-                safe[key[-1]] = False
+                before[key[-1]] = False
+        safe[before, 0x20] = True
         return safe
 
     # ---- encoding
@@ -315,8 +326,10 @@ class Model:
 
     def starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where texts are cut into chunks whose pieces don't depend on their neighbours, and where texts start."""
-        space = np.flatnonzero(data[1:] == 0x20) + 1
-        return np.union1d(space[self.cuts[data[space - 1]]], offsets)
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-1] = self.cuts[data[:-1], data[1:]]
+        cut[offsets] = True
+        return np.flatnonzero(cut)
 
     def encode(self, text: bytes) -> list[tuple[int, int, int]]:
         """Id, start and end in bytes of each piece of a whole text."""
@@ -376,37 +389,51 @@ def encode_batches(batches: Iterator[pa.RecordBatch], path: str, with_spans: boo
     for block in blocks(batches):
         data, offsets = text_bytes(block.column("text"))
         starts = own.starts(data, offsets)
-        bounds = np.searchsorted(starts, offsets).tolist()
+        bounds = np.searchsorted(starts, offsets)
         chunks = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(data)])
         coded = chunks.dictionary_encode()
-        codes, distinct = coded.indices.to_pylist(), coded.dictionary.to_pylist()
+        codes, distinct = np.asarray(coded.indices), coded.dictionary.to_pylist()
         # chunks at the start and, of a tidy model, at the end of a text are looked at by themselves
-        found: list = [None] * len(distinct)
-        totals, ids_digests, digests, covered, spans = [], [], [], [], []
-        for a, b in zip(bounds, bounds[1:]):
-            parts = []
-            for k in range(a, b):
-                code = codes[k]
-                if k == a or own.tidy and k == b - 1:
-                    parts.append(part(distinct[code], k == a, k == b - 1))
-                else:
-                    if found[code] is None:
-                        found[code] = inner(distinct[code])
-                    parts.append(found[code])
-            text = b"".join([p[2] for p in parts])
-            if parts and not parts[0][2]:  # the start of the text decodes to nothing: so may what follows it
-                text = own.decode([i for k in range(a, b) for i in own.pieces(distinct[codes[k]], k == a, k == b - 1)[0]])
-            totals.append(sum([p[0] for p in parts]))
-            covered.append(sum([p[3] for p in parts]))
-            ids_digests.append(hashlib.sha256(b",".join([p[1] for p in parts if p[0]])).hexdigest())
-            digests.append(hashlib.sha256(text).hexdigest())
-            base = starts[a] if b > a else 0
-            spans.append([{"id": i, "start": s + at, "stop": e + at} for k, p in zip(range(a, b), parts) for at in [int(starts[k] - base)] for i, s, e in zip(*p[4])] if with_spans else None)
+        own_part, full = np.zeros(len(codes), bool), bounds[:-1] < bounds[1:]
+        own_part[bounds[:-1][full]] = True
+        if own.tidy:
+            own_part[bounds[1:][full] - 1] = True
+        found: list = [NOTHING] * len(distinct)
+        for code in np.unique(codes[~own_part]).tolist():
+            found[code] = inner(distinct[code])
+        sizes, decimals, decoded, covers, places = zip(*found) if found else ((),) * 5
+        sizes, covers = np.array(sizes, np.int64)[codes], np.array(covers, np.int64)[codes]
+        codes, ids_digests, digests, spans = codes.tolist(), [], [], []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            parts, low, high = {}, a, b
+            if a < b:
+                low, high = a + 1, max(a + 1, b - own.tidy)
+                for k in {a, high} & set(range(a, b)) if own.tidy else (a,):
+                    parts[k] = part(distinct[codes[k]], k == a, k == b - 1)
+                    sizes[k], covers[k] = parts[k][0], parts[k][3]
+            rest = codes[low:high]
+            ids = [*map(decimals.__getitem__, rest)]
+            text = [*map(decoded.__getitem__, rest)]
+            if a < b:
+                ids.insert(0, parts[a][1]), text.insert(0, parts[a][2])
+            if high < b and high > a:
+                ids.append(parts[high][1]), text.append(parts[high][2])
+            if own.tidy:
+                ids = [i for i in ids if i]
+            if a < b and not text[0]:  # the start of the text decodes to nothing: so may what follows it
+                text = [own.decode([i for k in range(a, b) for i in own.pieces(distinct[codes[k]], k == a, k == b - 1)[0]])]
+            ids_digests.append(hashlib.sha256(b",".join(ids)).hexdigest())
+            digests.append(hashlib.sha256(b"".join(text)).hexdigest())
+            spans.append([{"id": i, "start": s + at, "stop": e + at} for k in range(a, b) for at in [int(starts[k] - starts[a])]
+                          for i, s, e in zip(*(parts[k][4] if k in parts else places[codes[k]]))] if with_spans else None)
+        totals, covered = (np.diff(np.concatenate([[0], np.cumsum(x)])[bounds]) for x in (sizes, covers))
         yield pa.RecordBatch.from_arrays(
             [block.column("doc_id"), pa.array(totals, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(digests, pa.string()), pa.array(covered, pa.int64()), pa.array(spans, SPANS)],
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_covered", "pieces"])
 
 
+#: Of a chunk that no text holds but at its start.
+NOTHING = (0, b"", b"", 0, None)
 SPANS = pa.list_(pa.struct([("id", pa.int32()), ("start", pa.int64()), ("stop", pa.int64())]))
 
 
