@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from registry.standins import with_tables
+from registry.standins import SQL, with_tables
+from skyjoin.functions.naming import PRODUCT_FILES
 
 ORACLE: dict[str, str] = {}
 
@@ -94,6 +95,23 @@ PAIRS = f", pairs as (select {OUT}, i.tag from sky_image i join sky_tile t on {N
 sql("inputs_of_one_tile", "sky_image", """
 select filename, band, expnum, ccdnum from sky_image
 where abs(case when ra_cent > 180 then ra_cent - 360.0625 else ra_cent - 0.0625 end) < 0.5 + 0.5*ra_size and abs(dec_cent + 29.46875) < 0.5 + 0.5*dec_size""")
+sql("inputs_of_stored_tile", "sky_image", """
+select filename, band, expnum, ccdnum from sky_image where abs(ra_cent - 235.5625) < 0.5 + 0.5*ra_size and abs(dec_cent + 53.46875) < 0.5 + 0.5*dec_size""")
+sql("images_centred_in_tiles", "sky_image sky_tile", """
+select t.tilename, i.filename from sky_image i join sky_tile t on least(abs(i.ra_cent - t.ra_cent), 360.0 - abs(i.ra_cent - t.ra_cent)) < 0.5*t.ra_size
+ and abs(i.dec_cent - t.dec_cent) < 0.5*t.dec_size""")
+sql("tile_inputs_stored_cells", "sky_image sky_tile", PAIRS + "select tilename, filename, band, expnum, ccdnum from pairs")
+sql("selection_counts", "sky_image sky_tile sky_zeropoint sky_blacklist", f"""
+, flagged as (
+ select i.*, i.ccdnum <> 2 as other, not {NOT_BLACK} as black, (select count(*) from sky_zeropoint z where {ZP}) as n_zp from sky_image i)
+, good as (select * from flagged where not other and not black and n_zp > 0)
+select count(*) as n_images, count(*) filter (where other) as n_other_detector, count(*) filter (where not other and black) as n_blacklisted,
+  count(*) filter (where not other and not black and n_zp = 0) as n_without_zeropoint, (select coalesce(sum(n_zp), 0)::bigint from good) as n_candidates,
+  (select coalesce(sum(i.n_zp), 0)::bigint from good i join sky_tile t on {NEAR}) as n_pairs from flagged""")
+sql("tile_inputs_unique_zeropoint", "sky_image sky_tile sky_zeropoint", f"""
+, z as (select imagename, source, version, flag, max(mag_zero) as mag_zero from sky_zeropoint group by imagename, source, version, flag
+  qualify row_number() over (partition by imagename order by source, version, flag) = 1)
+select {OUT}, z.mag_zero from sky_image i join z on {ZP} join sky_tile t on {NEAR}""")
 sql("tile_inputs_by_file", "sky_image sky_tile", PAIRS + """
 select tilename, band, filename, row_number() over (order by tilename, band, filename) as position from pairs""")
 sql("images_by_ra", "sky_image", """
@@ -190,19 +208,20 @@ from (select * from sky_image semi join (select pfw_attempt_id from sky_proctag
 join (select filename, compression, path from sky_archive) places using (filename)"""
 sql("build_images", "sky_image sky_archive sky_proctag", f"select * exclude (ra_cent, dec_cent) from {hpix('(' + GEOMETRY_JOIN + ') b', 32, 'hpix_32')} x")
 
-
-def _plane(table: str, filetype: str, suffix: str, more: str = "") -> str:
-    """Files of one type whose attempt is tagged, with their places."""
-    return f"""(select pfw_attempt_id, ccdnum, filename as filename{suffix}, compression as compression{suffix}, path as path{suffix}{more}
-  from (select * from {table} where filetype = '{filetype}') semi join tagged using (pfw_attempt_id) join located using (filename))"""
-
-
-sql("build_images_3plane", "sky_fileset sky_segmap sky_archive sky_attempt", f"""
-, tagged as (select pfw_attempt_id from sky_attempt where tag = 'Y2T9_FINALCUT'),
-located as materialized (select filename, compression, path from sky_archive)
-select * from {_plane('sky_fileset', 'red_immask', '', ', band, expnum')} science
-join {_plane('sky_fileset', 'red_bkg', '_bkg')} background using (pfw_attempt_id, ccdnum)
-join {_plane('sky_segmap', 'red_segmap', '_seg')} segments using (pfw_attempt_id, ccdnum)""")
+# Every side is a table of its own, so that no planner has more than one join to order.
+_own = {n: n for n in ("sky_fileset", "sky_segmap", "sky_catalog", "lineitem", "orders")}
+ORACLE["build_images_3plane"] = "with " + ",\n".join(f"{n} as materialized ({text})" for n, text in {
+    **{n: SQL[n].format(**_own) for n in ("sky_fileset", "sky_segmap", "sky_catalog", "sky_attempt", "sky_archive")},
+    "tagged": "select distinct pfw_attempt_id from sky_attempt where tag = 'Y2T9_FINALCUT'",
+    "located": "select filename, compression, path from sky_archive where filename is not null",
+    **{f"{side}_tagged": f"select f.* from {table} f where f.filetype = '{kind}' and f.pfw_attempt_id in (select pfw_attempt_id from tagged)" for side, table, kind in (
+        ("science", "sky_fileset", "red_immask"), ("background", "sky_fileset", "red_bkg"), ("segments", "sky_segmap", "red_segmap"))},
+    "science": "select f.pfw_attempt_id, f.ccdnum, f.filename, l.compression, l.path, f.band, f.expnum from science_tagged f inner join located l on l.filename = f.filename",
+    "background": "select f.pfw_attempt_id, f.ccdnum, f.filename as filename_bkg, l.compression as compression_bkg, l.path as path_bkg from background_tagged f inner join located l on l.filename = f.filename",
+    "segments": "select f.pfw_attempt_id, f.ccdnum, f.filename as filename_seg, l.compression as compression_seg, l.path as path_seg from segments_tagged f inner join located l on l.filename = f.filename",
+    "two": "select s.*, b.filename_bkg, b.compression_bkg, b.path_bkg from science s inner join background b on b.pfw_attempt_id = s.pfw_attempt_id and b.ccdnum = s.ccdnum",
+}.items()) + """
+select two.*, g.filename_seg, g.compression_seg, g.path_seg from two inner join segments g on g.pfw_attempt_id = two.pfw_attempt_id and g.ccdnum = two.ccdnum"""
 sql("build_catalogs", "sky_catalog sky_archive sky_proctag", """
 select filename, places.path, pfw_attempt_id, band, ccdnum, expnum
 from (select * exclude (path) from sky_catalog c where filetype = 'cat_finalcut'
@@ -560,12 +579,11 @@ select filename, concat('/tiles/inputs/T1_', replace({_name}, '.fits', '-me.fits
   replace(replace(concat('/tiles/inputs/T1_', {_name}), {_label}, 'immasked-me'), 'fits', 'ohead') as filepath_head,
   {EXPOSURE_NAME} as exposure_name, substr(filename, 1, 9) as prefix, {_label} as label from sky_image""")
 sql("https_paths", "sky_image", f"select i.filename, {LOCAL} as filepath_local, {HTTPS} as filepath_https from sky_image i")
-sql("product_files", "sky_image sky_tile", PAIRS + """
-, g as (select distinct tilename as base, band, expnum as exposure from pairs)
-select *, 'sci_fits' as kind, concat('/tiles/coadd/', base, '_', band, '_sci.fits') as product_path from g
-union all select *, 'expcat', concat('/tiles/align/', base, '_', cast(exposure as string), '_scampcat.fits') from g
-union all select *, 'scamp_xml', concat('/tiles/align/', base, '_scamp.xml') from g
-union all select *, 'meds_list_bkg', concat('/tiles/list/meds/', base, '_', band, '_bkg.list') from g""")
+_kinds = ", ".join(f"('{kind}', '{folder}', '{pattern}')" for kind, (folder, pattern) in PRODUCT_FILES.items())
+sql("product_files", "sky_image sky_tile", PAIRS + f"""
+, g as (select distinct tilename as base, band, expnum as exposure from pairs), k(kind, subdir, pattern) as (values {_kinds})
+select base, band, exposure, kind, concat('/tiles/', subdir, case when subdir = '' then '' else '/' end, replace(replace(replace(replace(pattern, '{{base}}', base), '{{band}}', band),
+  '{{exposure}}', cast(exposure as string)), '{{suffix}}', concat('v', exposure % 9))) as product_path from g, k""")
 _lab = "regexp_extract(regexp_replace(filename, '\\.[^.]*$', ''), '([^_]*)$', 1)"
 sql("label_unique", "sky_catalog sky_image", " union all ".join(
     f"select {g} as grp, case when count(distinct {_lab}) = 1 then min({_lab}) end as label, count(distinct {_lab}) = 1 as is_unique, count(*) as n_files from {t} group by {g}"
@@ -608,6 +626,20 @@ union all select 'plain', 0, true
 union all select 'gap', 0, true
 union all select 'extra', null, false
 union all select '*', null, false"""
+ORACLE["catalog_compare_rows"] = """
+with a as (select s_name, s_nationkey, s_acctbal::double as s_acctbal, row_number() over (order by s_name, s_nationkey, s_acctbal) as n from supplier),
+b as (select s_name, case when s_suppkey % 10 = 0 then -1 else s_nationkey end as s_nationkey, s_acctbal::double as s_acctbal from supplier where s_suppkey > 3),
+c as (select *, row_number() over (order by s_name, s_nationkey, s_acctbal) as n from b),
+d as (
+ select count(*) filter (where a.n is null or c.n is null) as row, count(*) filter (where a.s_name is distinct from c.s_name) as s_name,
+  count(*) filter (where a.s_nationkey is distinct from c.s_nationkey) as s_nationkey, count(*) filter (where a.s_acctbal is distinct from c.s_acctbal) as s_acctbal from a full join c on a.n = c.n)
+select 'row' as "column", row as n_different, row = 0 as is_equal from d
+union all select 's_name', s_name, s_name = 0 from d
+union all select 's_nationkey', s_nationkey, s_nationkey = 0 from d
+union all select 's_acctbal', s_acctbal, s_acctbal = 0 from d
+union all select 'same', row, row = 0 from d
+union all select 'more', null, false
+union all select '*', null, false"""
 STEP = "(case when (x + y) % 3 = 0 then x - y + 1 else 0 end)"
 sql("plane_diff", "sky_pixel", f"""
 , d as (select file, hdu, case when x = 7 and y = 7 then null else -{STEP} end as diff from sky_pixel)
@@ -632,7 +664,7 @@ sql("mask_external", "sky_pixel", """
 , m as (select y, x, case when count(*) filter (where value > 0) > count(*) / 2.0 then 1 else 0 end as v from sky_pixel group by y, x)
 select p.file, p.hdu, p.y, p.x, p.value * m.v as value from sky_pixel p join m on m.y = p.y and m.x = p.x""")
 sql("mask_rectangles", "sky_pixel", """
-, k as (select n_nationkey % 5 as x1, n_nationkey // 5 as y1 from nation where n_regionkey < 2)
+, k as (select n_nationkey % 5 as x1, n_nationkey // 5 as y1 from nation where n_nationkey % 5 <> n_nationkey // 5)
 select file, hdu, y, x, case when exists (select 1 from k where p.x >= x1 and p.x < x1 + 2 and p.y >= y1 and p.y < y1 + 2) then value else 0 end as value
 from sky_pixel p""")
 
@@ -661,6 +693,36 @@ union all select 'unique', 'expnum+ccdnum', concat(cast(expnum as string), '|',
 
 # -- text formats ------------------------------------------------------------------------------------
 
+_keys = "[CROSSRA0, DECC1, DECC2, DECC3, DECC4, DECCMAX, DECCMIN, DEC_CENT, DEC_SIZE, ID, NAXIS1, NAXIS2, PIXELSCALE, RAC1, RAC2, RAC3, RAC4, RACMAX, RACMIN, RA_CENT, RA_SIZE]"
+sql("tile_json_lines", "sky_tile", f"""
+select tilename, tile_id::int as id, ra_cent, decc3, racmin, naxis1, crossra0, tilename as name_inside, '{_keys}' as keys from sky_tile""")
+sql("tile_json_records", "sky_tile", f"""
+select case when tile_id % 3 < 2 then tilename end as tilename, case when tile_id % 3 < 2 then round(ra_cent, 6) end as ra_cent,
+  case when tile_id % 3 < 2 then round(dec_cent, 6) end as dec_cent, case when tile_id % 3 = 0 then round(rac1, 6) end as rac1,
+  case when tile_id % 3 < 2 then crossra0 end as crossra0, case when tile_id % 3 < 2 then 10000 end as naxis1, case when tile_id % 3 = 0 then tile_id::int end as id,
+  case when tile_id % 3 = 0 or tile_id % 3 = 1 and tile_id % 7 <> 0 then 0.36::double end as pixelscale,
+  case when tile_id % 3 = 2 then 40 when tile_id % 3 = 1 and tile_id % 7 = 0 then
+    length(concat('{{"tileinfo": {{"RA": ', ra_cent, ', "DEC": ', dec_cent, ', "CROSSRAZERO": "', crossra0, '", "NAXIS1": 10000.0, "PIXELSCALE": "fine"}}, "tilename": "', tilename, '"}}')) end::int as misfit_length
+from sky_tile""")
+_dump = "ra_cent dec_cent pixelscale naxis1 naxis2 uramin udecmin uramin udecmax uramax udecmax uramax udecmin uramin uramax udecmin udecmax".split()
+_as = {"pixelscale": "format('{:8.4f}', 0.27)", "naxis1": "format('{:6d}', 10000)", "naxis2": "format('{:6d}', 10000)"}
+sql("tile_dump_lines", "sky_bounds", f"""
+select dec_row, ra_step, concat_ws(' ', lpad(tilename, 12, ' '), {', '.join(_as.get(n, "format('{:10.6f}', " + n + ")") for n in _dump)}) as line from sky_bounds""")
+sql("tile_dump_records", "sky_bounds", """
+select tilename, round(ra_cent, 6) as ra_cent, round(uramin, 6) as rall, round(udecmax, 6) as udecu, 10000 as naxis2, false as is_misfit from sky_bounds
+union all select tilename, case when ra_step % 3 <> 1 then round(ra_cent, 6) end, round(uramin, 6), round(udecmax, 6), 10000, ra_step % 3 = 1 from sky_bounds""")
+sql("assoc_json_document", "sky_image", """
+, v as (select 0 as part, concat('"', filename, '"') as v from sky_image union all select 1, concat('"', band, '"') from sky_image
+  union all select 2, case when ccdnum <> 2 then cast(ccdnum as string) else 'null' end from sky_image),
+first as (select min(filename) as filename from sky_image), top as (
+  select filename, band, case when ccdnum <> 2 then cast(ccdnum as string) else 'null' end as m from sky_image where filename = (select filename from first)),
+body as (
+ select part, 2 as place, concat('    , ', v) as line, count(*) as n from v group by part, v
+ union all select 0, 2, concat('    , "', filename, '"'), -1 from top union all select 1, 2, concat('    , "', band, '"'), -1 from top union all select 2, 2, concat('    , ', m), -1 from top)
+select part, place, line, sum(n)::bigint as n from body group by part, place, line having sum(n) > 0
+union all select 0, 1, concat('      "', filename, '"'), 1 from top union all select 1, 1, concat('      "', band, '"'), 1 from top union all select 2, 1, concat('      ', m), 1 from top
+union all select * from (values (-1, 0, '{"assoc": {', 1), (0, 0, '  "FILEPATH_LOCAL": [', 1), (1, 0, '  "BAND": [', 1), (2, 0, '  "MAG_ZERO": [', 1),
+  (0, 3, '  ],', 1), (1, 3, '  ],', 1), (2, 3, '  ]', 1), (3, 0, '}}', 1))""")
 ORACLE["config_lines"] = """
 select replace(p_brand, '#', '') as "key", concat('V', arg_max(p_partkey, p_partkey)) as value
 from part where p_size % 7 not in (0, 1) group by all"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,9 +10,9 @@ from pyspark.sql import functions as F
 
 from registry.standins import table
 from skyjoin.functions import healpix, naming, photometry, sphere, wcs
-from skyjoin.operators import depth, lists, ordering, overlap, quality, sampling, stats, tiling
+from skyjoin.operators import coverage, depth, lists, ordering, overlap, quality, sampling, stats, tiling
 from skyjoin.plans import builders, lineage, select
-from skyjoin.sources import readers, tables
+from skyjoin.sources import readers, staging, tables, writers
 
 LOCAL, HTTPS = "/archive", "https://archive.example.org/files"
 TILEDIR = "/tiles"
@@ -124,6 +125,55 @@ def inputs_of_one_tile(t):
     return overlap.overlap_of_tile(t.sky_image, ONE_TILE).select("filename", "band", "expnum", "ccdnum")
 
 
+# a tile in the south
+STORED_TILE = {"ra_cent": 235.5625, "dec_cent": -53.46875, "ra_size": 1.0, "dec_size": 1.0, "crossra0": "N"}
+
+
+@query
+def inputs_of_stored_tile(t):
+    """Out of images stored by HEALPix pixel: the scan gets the tile's pixel ranges."""
+    path = f"{staging.shared_folder(t._spark)}/images-{uuid.uuid4().hex}"
+    images = healpix.with_nested_index(t.sky_image, "hpix_256", nside=256)
+    writers.write_clustered(images, path, order=("hpix_256", "filename"))
+    stored = t._spark.read.parquet(path)
+    return coverage.inputs_of_tile(stored, STORED_TILE).select("filename", "band", "expnum", "ccdnum")
+
+
+@query
+def images_centred_in_tiles(t):
+    """Images met on the pixels of each tile, then tested exactly."""
+    tiles = overlap.tile_columns(t.sky_tile.select("tilename", "ra_cent", "dec_cent", "ra_size", "dec_size"))
+    pixels = coverage.tile_pixels(t.sky_tile, nside=64)
+    images = healpix.with_nested_index(t.sky_image, "hpix", nside=64)
+    near = images.join(pixels, "hpix").join(tiles, "tilename")
+    inside = (sphere.ra_separation("ra_cent", "tile_ra_cent") < 0.5 * F.col("tile_ra_size")) & (F.abs(F.col("dec_cent") - F.col("tile_dec_cent")) < 0.5 * F.col("tile_dec_size"))
+    return near.filter(inside).select("tilename", "filename")
+
+
+@query
+def tile_inputs_stored_cells(t):
+    """Out of images stored by sky cell: the join moves the tiles only."""
+    name = f"cells_{uuid.uuid4().hex}"
+    overlap.store_cells(t.sky_image, name, buckets=8, path=f"{staging.shared_folder(t._spark)}/{name}")
+    return overlap.overlap_join_stored(t._spark.table(name), t.sky_tile).select(*IMAGE_OUT)
+
+
+@query
+def selection_counts(t):
+    """What an input selection found and dropped, counted by the job that stores it."""
+    counts = select.SelectionCounts()
+    pairs = select.select_inputs(t.sky_tile, t.sky_image, zeropoint=t.sky_zeropoint, blacklist=t.sky_blacklist, ccdnum=2, counts=counts)
+    staging.staged(pairs.select("tilename", "filename", "mag_zero"), "inputs")
+    return t._spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.values().items()])
+
+
+@query
+def tile_inputs_unique_zeropoint(t):
+    one = t.sky_zeropoint.groupBy("imagename", "source", "version", "flag").agg(F.max("mag_zero").alias("mag_zero"))
+    one = one.groupBy("imagename").agg(F.min(F.struct("source", "version", "flag", "mag_zero")).alias("z")).select("imagename", "z.*")
+    return select.select_inputs(t.sky_tile, t.sky_image, zeropoint=one, zp_unique=True).select(*IMAGE_OUT, "mag_zero")
+
+
 @query
 def tile_inputs_by_file(t):
     rows = _pairs(t).select("tilename", "band", "filename")
@@ -425,25 +475,24 @@ def sky_map_lookup(t):
 # -- depth ---------------------------------------------------------------------------------------
 
 
-def _rectangles(t):
+def _corner_pairs(t):
     images = t.sky_image.select("band", "expnum", "ra_cent", "dec_cent", "ra_size", "dec_size", *sphere.corner_names("rac"), *sphere.corner_names("decc"))
-    rects = depth.rectangles(overlap.overlap_join(images, depth.with_pixel_limits(t.sky_tile)))
-    return depth.merge_rectangles(rects)
+    return overlap.overlap_join(images, depth.with_pixel_limits(t.sky_tile))
 
 
 @query
 def depth_map(t):
-    return depth.depth_map(depth.depth_runs(_rectangles(t)))
+    return depth.depth_map(depth.depth_runs(depth.merge_rectangles(depth.rectangles(_corner_pairs(t)))))
 
 
 @query
 def depth_fractions(t):
-    return depth.depth_statistics(_rectangles(t))
+    return depth.tile_statistics(_corner_pairs(t))
 
 
 @query
 def depth_json(t):
-    documents = depth.depth_json(depth.depth_statistics(_rectangles(t)))
+    documents = depth.depth_json(depth.tile_statistics(_corner_pairs(t)))
     return documents.select("tilename", *[
         F.get_json_object("json", f"$.{band}.D{n}").cast("double").alias(f"{band}_d{n}") for band in "grizY" for n in range(1, 8)])
 
@@ -552,7 +601,8 @@ def https_paths(t):
 @query
 def product_files(t):
     groups = _pairs(t).select(F.col("tilename").alias("base"), "band", F.col("expnum").alias("exposure")).distinct()
-    kinds = F.array(*[F.lit(k) for k in ("sci_fits", "expcat", "scamp_xml", "meds_list_bkg")])
+    groups = groups.withColumn("suffix", F.concat(F.lit("v"), F.col("exposure") % 9))
+    kinds = F.array(*[F.lit(k) for k in naming.PRODUCT_FILES])
     return naming.with_product_paths(groups.withColumn("kind", F.explode(kinds)), TILEDIR).select(
         "base", "band", "exposure", "kind", "product_path")
 
@@ -620,6 +670,16 @@ def catalog_compare(t):
     return quality.compare_catalogs(a, b, ["vec_id"])
 
 
+@query
+def catalog_compare_rows(t):
+    """Tables without a key, paired by their place in an order; the second lacks rows at the end."""
+    a = t.supplier.select("s_name", "s_nationkey", F.col("s_acctbal").cast("double").alias("s_acctbal"), F.lit("x").alias("same"))
+    b = t.supplier.filter("s_suppkey > 3").select(
+        F.col("s_name"), F.when(F.col("s_suppkey") % 10 == 0, -1).otherwise(F.col("s_nationkey")).alias("s_nationkey"),
+        F.col("s_acctbal").cast("double").alias("s_acctbal"), F.lit("x").alias("same"), F.lit(1).alias("more"))
+    return quality.compare_catalogs_by_row(a, b, ["s_name", "s_nationkey", "s_acctbal"])
+
+
 def _second_plane(t):
     # without the last pixel of each plane
     return t.sky_pixel.filter("NOT (x = 7 AND y = 7)").withColumn("value", F.col("value") + F.when((F.col("x") + F.col("y")) % 3 == 0, F.col("x") - F.col("y") + 1).otherwise(0))
@@ -682,7 +742,7 @@ def mask_rectangles(t):
     rects = t.nation.select(
         (F.col("n_nationkey") % 5).alias("x1"), (F.col("n_nationkey") % 5 + 2).alias("x2"),
         (F.floor(F.col("n_nationkey") / 5)).cast("int").alias("y1"), (F.floor(F.col("n_nationkey") / 5) + 2).cast("int").alias("y2")
-    ).filter("n_regionkey < 2")
+    ).filter("x1 <> y1")
     return quality.mask_by_rectangles(t.sky_pixel, rects, cell=4)
 
 
@@ -722,6 +782,54 @@ def constraint_violations(t):
 # -- text formats ------------------------------------------------------------------------------------
 
 
+@query
+def tile_json_lines(t):
+    return writers.tile_json(t.sky_tile.withColumn("id", F.col("tile_id").cast("int"))).select(
+        "tilename", *[F.get_json_object("json", f"$.tileinfo.{k}").cast(kind).alias(k.lower()) for k, kind in (
+            ("ID", "int"), ("RA_CENT", "double"), ("DECC3", "double"), ("RACMIN", "double"), ("NAXIS1", "int"), ("CROSSRA0", "string"))],
+        F.get_json_object("json", "$.tilename").alias("name_inside"), F.json_object_keys(F.get_json_object("json", "$.tileinfo")).cast("string").alias("keys"))
+
+
+@query
+def tile_json_records(t):
+    """Tile documents of today, of older keys, with a wrong value and cut short, read with declared types."""
+    tiles = t.sky_tile.withColumn("id", F.col("tile_id").cast("int"))
+    now = writers.tile_json(tiles).select(F.col("json").alias("value"), "tilename")
+    older = F.format_string('{"tileinfo": {"RA": %s, "DEC": %s, "CROSSRAZERO": "%s", "NAXIS1": 10000.0, "PIXELSCALE": %s}, "tilename": "%s"}', "ra_cent", "dec_cent", "crossra0", F.when(F.col("tile_id") % 7 == 0, F.lit('"fine"')).otherwise(F.lit("0.36")), "tilename")
+    given = F.when(F.col("tile_id") % 3 == 0, F.col("value")).when(F.col("tile_id") % 3 == 1, older).otherwise(F.substring("value", 1, 40))
+    documents = tiles.join(now, "tilename").select(given.alias("value"))
+    df = readers.parse_tile_json(documents)
+    return df.select("tilename", *rounded("ra_cent", "dec_cent", "rac1"), "crossra0", "naxis1", "id", "pixelscale", F.length("misfit").alias("misfit_length"))
+
+
+def _flat_tiles(t):
+    """The older geometry's columns, one tile per part."""
+    tiles = t.sky_bounds.withColumns({"pixelscale": F.lit(0.27), "naxis1": F.lit(10000), "naxis2": F.lit(10000)})
+    names = {"rall": "uramin", "decll": "udecmin", "raul": "uramin", "decul": "udecmax", "raur": "uramax", "decur": "udecmax", "ralr": "uramax", "declr": "udecmin",
+             "ural": "uramin", "urau": "uramax", "udecl": "udecmin", "udecu": "udecmax"}
+    return tiles.select("dec_row", "ra_step", "tilename", "ra_cent", "dec_cent", "pixelscale", "naxis1", "naxis2", *[F.col(old).alias(new) for new, old in names.items()])
+
+
+@query
+def tile_dump_lines(t):
+    return writers.tile_dump_lines(_flat_tiles(t))
+
+
+@query
+def tile_dump_records(t):
+    """Fixed-width, comma-separated and broken lines of the dump."""
+    flat = _flat_tiles(t)
+    csv = F.when(F.col("ra_step") % 3 == 0, F.regexp_replace("line", ",", ", ")).when(F.col("ra_step") % 3 == 1, F.regexp_replace("line", r"^([^,]*),", "$1,x")).otherwise(F.col("line"))
+    lines = writers.tile_dump_lines(flat).select(F.col("line").alias("value")).unionByName(writers.tile_dump_csv(flat).select(csv.alias("value")))
+    return readers.parse_tile_dump(lines).select("tilename", *rounded("ra_cent", "rall", "udecu"), "naxis2", F.col("misfit").isNotNull().alias("is_misfit"))
+
+
+@query
+def assoc_json_document(t):
+    df = t.sky_image.select(F.col("filename").alias("FILEPATH_LOCAL"), F.col("band").alias("BAND"), F.when(F.col("ccdnum") != 2, F.col("ccdnum")).alias("MAG_ZERO"))
+    return writers.assoc_json_lines(df).groupBy("part", "place", "line").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def config_lines(t):
     lines = t.part.select(F.col("p_partkey").alias("place"), F.when(F.col("p_size") % 7 == 0, F.concat(F.lit("# "), "p_brand", F.lit(" off"))).when(

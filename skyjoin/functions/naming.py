@@ -262,8 +262,8 @@ def product_path(
 
 def product_kinds(spark: SparkSession) -> DataFrame:
     """The product table as rows (kind, subdir, pattern)."""
-    rows = [(kind, subdir, pattern) for kind, (subdir, pattern) in PRODUCT_FILES.items()]
-    return spark.createDataFrame(rows, "kind string, subdir string, pattern string")
+    rows = [F.struct(F.lit(kind).alias("kind"), F.lit(subdir).alias("subdir"), F.lit(pattern).alias("pattern")) for kind, (subdir, pattern) in PRODUCT_FILES.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def with_product_paths(df: DataFrame, tiledir, kind: str = "kind") -> DataFrame:

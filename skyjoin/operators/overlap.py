@@ -122,6 +122,8 @@ def _search(search: str, wrap: str, pad: float) -> tuple[Box, Box, Column]:
 
 def _in_cells(df: DataFrame, box: Box, cell: float, p: str) -> DataFrame:
     """One row per sky cell the box touches."""
+    if abs(360 / cell - round(360 / cell)) > 1e-9:
+        raise ValueError("cell must divide 360 degrees")
     turns = round(360 / cell)
     lo, hi = box.ra_lo - EDGE_DEG, box.ra_lo + box.ra_width + EDGE_DEG
     first_x, first_y = F.floor(lo / cell), F.floor((box.dec_lo - EDGE_DEG) / cell)
@@ -152,13 +154,13 @@ def _owner(cell: float) -> Column:
     return own_x & own_y
 
 
-def _salted(images: DataFrame, tiles: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
-    """Images of a cell spread over ``salts`` pieces; tiles repeated in every piece."""
+def _salted_images(images: DataFrame, salts: int) -> DataFrame:
+    """Images of a cell spread over ``salts`` pieces; the tiles are then repeated in every piece."""
+    if salts == 1:
+        return images
     own = [c for c in images.columns if not c.startswith("_i_")]
     spread = F.xxhash64(*(["filename"] if "filename" in own else own))
-    images = images.withColumn("_i_salt", F.pmod(spread, F.lit(salts)))
-    tiles = tiles.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_t_salt"))
-    return images, tiles
+    return images.withColumn("_i_salt", F.pmod(spread, F.lit(salts)).cast("int"))
 
 
 def overlap_join(
@@ -177,18 +179,51 @@ def overlap_join(
     splits skewed partitions, as it does by default; more where that is off and the tile
     side is too large to broadcast. The tile side is repeated once per piece.
     """
-    if abs(360 / cell - round(360 / cell)) > 1e-9:
-        raise ValueError("cell must divide 360 degrees")
+    image_box, _, _ = _search(search, wrap, pad)
+    return _met(_salted_images(_in_cells(images, image_box, cell, "_i"), salts), images.columns, tiles, search, wrap, pad, cell, salts)
+
+
+def _met(cells: DataFrame, columns: list[str], tiles: DataFrame, search: str, wrap: str, pad: float, cell: float, salts: int) -> DataFrame:
     tiles = tile_columns(tiles)
-    image_box, tile_box, predicate = _search(search, wrap, pad)
-    keep = [*images.columns, *tiles.columns]
-    i = _in_cells(images, image_box, cell, "_i")
+    _, tile_box, predicate = _search(search, wrap, pad)
+    keep = [*columns, *tiles.columns]
     t = _in_cells(tiles, tile_box, cell, "_t")
     on = (F.col("_i_cx") == F.col("_t_cx")) & (F.col("_i_cy") == F.col("_t_cy"))
     if salts > 1:
-        i, t = _salted(i, t, salts)
+        t = t.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_t_salt"))
         on = on & (F.col("_i_salt") == F.col("_t_salt"))
-    return i.join(t, on & _owner(cell) & predicate).select(*keep)
+    return cells.join(t, on & _owner(cell) & predicate).select(*keep)
+
+
+# -- images stored by cell ---------------------------------------------------------------
+
+
+def store_cells(
+    images: DataFrame, name: str, search: str = "distance", *, buckets: int, pad: float = 0.5,
+    cell: float = CELL_DEG, salts: int = 1, path: str | None = None,
+) -> None:
+    """The images of every sky cell as a table ``name``, bucketed and sorted by cell.
+
+    Searches with ``overlap_join_stored`` then read it as it lies: they move and sort
+    the tiles only, however often they run. Each image is there once per cell its box touches. A
+    bucket is one task's share of a join: take enough of them, and ``salts`` where single cells
+    hold more images than that (deep fields); the tile side is repeated once per salt.
+    """
+    image_box, _, _ = _search(search, "circle", pad)
+    keys = ["_i_cx", "_i_cy"] + (["_i_salt"] if salts > 1 else [])
+    cells = _salted_images(_in_cells(images, image_box, cell, "_i"), salts)
+    # rows of a bucket come from one task, so a bucket is one sorted file
+    writer = cells.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
+def overlap_join_stored(
+    stored: DataFrame, tiles: DataFrame, search: str = "distance", *,
+    wrap: str = "circle", pad: float = 0.5, cell: float = CELL_DEG, salts: int = 1,
+) -> DataFrame:
+    """``overlap_join`` of a table made by ``store_cells`` with the same search, pad, cell and salts."""
+    columns = [c for c in stored.columns if not c.startswith("_i_")]
+    return _met(stored, columns, tiles, search, wrap, pad, cell, salts)
 
 
 def overlap_of_tile(

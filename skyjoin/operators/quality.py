@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyjoin.operators import stats
+from skyjoin.operators import ordering, stats
+from skyjoin.sources.staging import staged
 
 # -- catalogues --------------------------------------------------------------------------
 
@@ -58,6 +59,18 @@ def compare_catalogs(a: DataFrame, b: DataFrame, key: list[str], nan_equal: bool
     return row.select(F.explode(F.array(*entries, total)).alias("e")).select("e.*")
 
 
+def compare_catalogs_by_row(a: DataFrame, b: DataFrame, order: list[str] | None = None, nan_equal: bool = False) -> DataFrame:
+    """``compare_catalogs`` of tables without a key: rows pair up by their number.
+
+    Rows are numbered in the order of ``order``, which both tables must have and which should be complete, or,
+    without one, as the Parquet files that the tables were read from hold them. The row with column ``row``
+    counts the rows that one table has more; they differ in every column, too.
+    """
+    number = "row"
+    sides = [ordering.with_position(t, order, number) if order else ordering.with_stored_position(t, number) for t in (a, b)]
+    return compare_catalogs(*sides, [number], nan_equal)
+
+
 # -- image planes ---------------------------------------------------------------------------
 
 PIXEL = ["file", "hdu", "y", "x"]
@@ -73,10 +86,10 @@ def plane_statistics(difference: DataFrame) -> DataFrame:
     """Per file and HDU: pixels, those in one plane only, differing pixels, their share and statistics.
 
     Minimum, maximum, mean and median are those of the differences other than zero. All
-    follow from the counts of each difference, so the planes are joined once.
+    follow from the counts of each difference, which are stored: the planes are joined once.
     """
     keys = ["file", "hdu"]
-    counted = difference.groupBy(*keys, "diff").agg(F.count(F.lit(1)).alias("n"))
+    counted = staged(difference.groupBy(*keys, "diff").agg(F.count(F.lit(1)).alias("n")), "differences")
     differs = F.col("diff") != 0
     d, n = F.when(differs, F.col("diff")), F.when(differs, F.col("n")).otherwise(F.lit(0))
     base = counted.groupBy(*keys).agg(

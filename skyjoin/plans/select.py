@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from skyjoin.functions import naming
@@ -37,10 +37,20 @@ def usable_zeropoints(zeropoint: DataFrame, source=ZP_SOURCE, version=ZP_VERSION
         (F.col("source") == source) & (F.col("version") == version) & (F.col("flag") < flag))
 
 
-def with_zeropoints(images: DataFrame, zeropoint: DataFrame, source=ZP_SOURCE, version=ZP_VERSION, flag=ZP_FLAG) -> DataFrame:
-    """MAG_ZERO per image; images without a usable zero point drop out, several fan out."""
+def with_zeropoints(images: DataFrame, zeropoint: DataFrame, source=ZP_SOURCE, version=ZP_VERSION, flag=ZP_FLAG, unique: bool = False) -> DataFrame:
+    """MAG_ZERO per image; images without a usable zero point drop out, several fan out.
+
+    With ``unique`` the job fails instead where an image of the table has several.
+    """
     zp = usable_zeropoints(zeropoint, source, version, flag).select(F.col("imagename").alias("filename"), "mag_zero")
-    return images.join(zp, "filename")
+    if not unique:
+        return images.join(zp, "filename")
+    counted = zp.groupBy("filename").agg(F.first("mag_zero").alias("mag_zero"), F.count(F.lit(1)).alias("_zeropoints"))
+    several = F.raise_error(F.format_string("%d usable zero points for image %s", F.col("_zeropoints"), F.col("filename")))
+    # In a filter, which stays whatever columns are asked for later; the row's number keeps it above the
+    # join, where zero points of other images are gone.
+    bad = (F.col("_zeropoints") > 1) & (F.monotonically_increasing_id() >= 0)
+    return images.join(counted, "filename").filter(F.when(bad, several.cast("boolean")).otherwise(True)).drop("_zeropoints")
 
 
 def without_zeropoint(images: DataFrame, zeropoint: DataFrame, source=ZP_SOURCE, version=ZP_VERSION, flag=ZP_FLAG) -> DataFrame:
@@ -67,23 +77,86 @@ def with_tag(images: DataFrame, tags: DataFrame, tag: str, key: str = "filename"
 def candidate_images(
     images: DataFrame, *, zeropoint: DataFrame | None = None, blacklist: DataFrame | None = None,
     ccdnum: int = 0, zp_source=ZP_SOURCE, zp_version=ZP_VERSION, zp_flag=ZP_FLAG,
-    extras: Extras | None = None,
+    zp_unique: bool = False, extras: Extras | None = None, counts: SelectionCounts | None = None,
 ) -> DataFrame:
-    """Everything that is decided per image, ahead of the fan-out to tiles."""
+    """Everything that is decided per image, ahead of the fan-out to tiles.
+
+    ``zp_unique`` makes the job fail where an image has several usable zero points;
+    ``counts`` takes the numbers of images found and dropped along with the job.
+    """
+    if counts is not None:
+        return _counted_candidates(images, zeropoint, blacklist, ccdnum, (zp_source, zp_version, zp_flag), zp_unique, extras, counts)
     df = images
     if ccdnum > 0:
         df = df.filter(F.col("ccdnum") == ccdnum)
     if blacklist is not None:
         df = exclude_blacklisted(df, blacklist)
     if zeropoint is not None:
-        df = with_zeropoints(df, zeropoint, zp_source, zp_version, zp_flag)
+        df = with_zeropoints(df, zeropoint, zp_source, zp_version, zp_flag, zp_unique)
     return extras.apply(df) if extras else df
 
 
+class SelectionCounts:
+    """Numbers that a job reports about an input selection while it runs.
+
+    They are there once an action on the selection has ended, and count that action alone: ``n_images`` given,
+    ``n_other_detector``, ``n_blacklisted`` and ``n_without_zeropoint`` dropped, ``n_candidates`` left, and ``n_pairs`` of
+    a tile and an image. An action that doesn't read all rows (``first``, ``limit``) counts what it read, and stages
+    that are run again after a lost executor may be counted again.
+    """
+
+    IMAGES = ("n_images", "n_other_detector", "n_blacklisted", "n_without_zeropoint")
+
+    def __init__(self):
+        self._images, self._candidates, self._pairs = Observation(), Observation(), Observation()
+
+    def images(self, df: DataFrame, *dropped: Column) -> DataFrame:
+        return df.observe(self._images, F.count(F.lit(1)).alias(self.IMAGES[0]), *[F.count_if(d).alias(n) for d, n in zip(dropped, self.IMAGES[1:])])
+
+    def candidates(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._candidates, F.count(F.lit(1)).alias("n_candidates"))
+
+    def pairs(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._pairs, F.count(F.lit(1)).alias("n_pairs"))
+
+    def values(self) -> dict[str, int]:
+        """The numbers; waits for the action to end."""
+        return {**self._images.get, **self._candidates.get, **self._pairs.get}
+
+    def messages(self) -> list[str]:
+        """The same as lines for a log."""
+        n = self.values()
+        lines = [f"Found {n['n_pairs']} input images of tiles" if n["n_pairs"] else "No input images found"]
+        lines += [f"Dropped {n[k]} of {n['n_images']} images: {why}" for k, why in zip(self.IMAGES[1:], ("other detectors", "blacklisted", "no usable zero point")) if n[k]]
+        return lines
+
+
+def _counted_candidates(images, zeropoint, blacklist, ccdnum, zp, zp_unique, extras, counts) -> DataFrame:
+    """``candidate_images`` by flags, so that what is dropped is counted in the same pass."""
+    columns = images.columns
+    other = F.col("ccdnum") != ccdnum if ccdnum > 0 else F.lit(False)
+    black, without = F.lit(False), F.lit(False)
+    df = images
+    if blacklist is not None:
+        df = df.join(blacklist.select("expnum", "ccdnum", F.lit(True).alias("_black")).distinct(), ["expnum", "ccdnum"], "left")
+        black = F.coalesce("_black", F.lit(False))
+    if zeropoint is not None:
+        # one row an image until it is counted; several zero points fan out afterwards
+        usable = usable_zeropoints(zeropoint, *zp).select(F.col("imagename").alias("filename"), F.lit(True).alias("_zeropoint")).distinct()
+        df = df.join(usable, "filename", "left")
+        without = F.col("_zeropoint").isNull()
+    df = counts.images(df, other, ~other & black, ~other & ~black & without).filter(~other & ~black & ~without)
+    df = df.select(*columns)
+    if zeropoint is not None:
+        df = with_zeropoints(df, zeropoint, *zp, unique=zp_unique)
+    return counts.candidates(extras.apply(df) if extras else df)
+
+
 def select_inputs(
     tiles: DataFrame, images: DataFrame, *, zeropoint: DataFrame | None = None,
     blacklist: DataFrame | None = None, ccdnum: int = 0,
     zp_source=ZP_SOURCE, zp_version=ZP_VERSION, zp_flag=ZP_FLAG,
+    zp_unique: bool = False, counts: SelectionCounts | None = None,
     search: str = "distance", wrap: str = "circle", pad: float = 0.5,
     extras: Extras | None = None, **join_options,
 ) -> DataFrame:
@@ -94,8 +167,10 @@ def select_inputs(
     """
     df = candidate_images(
         images, zeropoint=zeropoint, blacklist=blacklist, ccdnum=ccdnum,
-        zp_source=zp_source, zp_version=zp_version, zp_flag=zp_flag, extras=extras)
+        zp_source=zp_source, zp_version=zp_version, zp_flag=zp_flag, zp_unique=zp_unique, extras=extras, counts=counts)
     pairs = overlap.overlap_join(df, tiles, search, wrap=wrap, pad=pad, **join_options)
+    if counts is not None:
+        pairs = counts.pairs(pairs)
     if "tile_crossra0" in pairs.columns:
         pairs = overlap.fold_crossing(pairs)
     blank = [c for c in ("compression", "compression_bkg", "compression_seg") if c in pairs.columns]

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyjoin.sources.staging import staged
+
 log = logging.getLogger(__name__)
 
 
@@ -20,19 +23,56 @@ def input_table_name(root: str, tag: str) -> str:
 
 
 def create_table(df: DataFrame, name: str, clobber: bool = False) -> bool:
-    """Stores the frame as a table; an existing one is kept unless ``clobber``."""
-    exists = table_exists(df.sparkSession, name)
+    """Stores the frame as a table; an existing one is kept unless ``clobber``.
+
+    The rows are written under another name first, and the tables change places only when all are there.
+    So a frame may read the table that it replaces, and one that fails midway leaves it as it was.
+    """
+    spark = df.sparkSession
+    exists = table_exists(spark, name)
     if exists and not clobber:
         log.warning("table %s exists; use clobber to replace it", name)
         return False
-    df.write.mode("overwrite").saveAsTable(name)
+    owner, _, plain = name.rpartition(".")
+
+    def beside(kind: str) -> str:
+        return f"{owner}." * bool(owner) + f"{plain}__{kind}_{uuid.uuid4().hex}"
+
+    new, old = beside("new"), beside("old")
+    try:
+        df.write.mode("errorifexists").saveAsTable(new)
+        if exists:
+            _rename(spark, name, old)
+        try:
+            _rename(spark, new, name)
+        except Exception:
+            if exists:
+                _rename(spark, old, name)
+            raise
+    except Exception:
+        spark.sql(f"drop table if exists {_quoted(new)}")
+        raise
+    if exists:
+        spark.sql(f"drop table {_quoted(old)}")
     return True
 
 
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def _rename(spark: SparkSession, name: str, other: str) -> None:
+    spark.sql(f"alter table {_quoted(name)} rename to {_quoted(other)}")
+
+
 def append_rows(df: DataFrame, name: str) -> None:
-    """All rows in one job, matched to the table's columns by name."""
+    """All rows in one job, matched to the table's columns by name.
+
+    They are computed before the table is touched: a frame may read the table that it adds to, and one that
+    fails midway adds nothing.
+    """
     columns = df.sparkSession.table(name).columns
-    df.select(*columns).write.mode("append").insertInto(name)
+    staged(df.select(*columns), "append").write.mode("append").insertInto(name)
 
 
 def upsert(base: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:

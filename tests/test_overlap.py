@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -150,3 +151,26 @@ def test_one_tile_filters_reach_the_scan(spark, tmp_path):
         assert sorted(r["filename"] for r in df.collect()) == want
         plan = df._jdf.queryExecution().toString()
         assert "PushedFilters: [" in plan and "PushedFilters: []" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_stored_cells_are_not_moved(spark, tmp_path, salts):
+    rng = random.Random(5)
+    # a third of the images in one cell
+    rows = [(f"f{k}", 10.5 if k % 3 == 0 else rng.uniform(0, 360), 0.5 if k % 3 == 0 else rng.uniform(-60, 60), 0.3, 0.2) for k in range(3000)]
+    images = spark.createDataFrame(rows, "filename string, ra_cent double, dec_cent double, ra_size double, dec_size double")
+    tiles = spark.createDataFrame([(f"T{k}", rng.uniform(0, 360), rng.uniform(-60, 60), 2.0, 1.0) for k in range(200)] + [("D", 10.0, 0.0, 2.0, 2.0)],
+                                  "tilename string, ra_cent double, dec_cent double, ra_size double, dec_size double")
+    name = f"cells_{salts}"
+    overlap.store_cells(images, name, buckets=4, salts=salts, path=str(tmp_path / name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = overlap.overlap_join_stored(spark.table(name), tiles, salts=salts).select("tilename", "filename")
+        pairs = Counter(map(tuple, got.collect()))
+        plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert pairs == Counter(map(tuple, overlap.overlap_join(images, tiles).select("tilename", "filename").collect())) and len(pairs) > 1000
+    # one exchange, of the tiles; the images come as they lie
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan and "SortMergeJoin" in plan
+    spark.sql(f"drop table {name}")

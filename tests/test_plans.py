@@ -116,3 +116,50 @@ def test_constraints(spark):
     with pytest.raises(ValueError):
         quality.require_non_empty(df.limit(0))
     assert quality.require_non_empty(df) is df
+
+
+def zeropoints(spark, *rows):
+    return spark.createDataFrame([(name, "FGCM", "v2.0", 0, value) for name, value in rows], "imagename string, source string, version string, flag int, mag_zero double")
+
+
+def test_unique_zero_points(spark, images_and_tile):
+    images, tile = images_and_tile
+    twice = zeropoints(spark, ("a", 30.0), ("b", 30.5), ("b", 30.6), ("nowhere", 1.0), ("nowhere", 2.0))
+    with pytest.raises(Exception, match="2 usable zero points for image b"):
+        # whatever is asked of the result
+        select.with_zeropoints(images, twice, unique=True).select("expnum").collect()
+    with pytest.raises(Exception, match="2 usable zero points for image b"):
+        select.select_inputs(tile, images, zeropoint=twice, zp_unique=True).count()
+    # zero points of images that are not asked for don't matter
+    assert names(select.with_zeropoints(images.filter("filename <> 'b'"), twice, unique=True)) == ["a"]
+    once = zeropoints(spark, ("a", 30.0), ("b", 30.5))
+    got = {r["filename"]: r["mag_zero"] for r in select.select_inputs(tile, images, zeropoint=once, zp_unique=True).collect()}
+    assert got == {"a": 30.0, "b": 30.5}
+
+
+def test_counts_come_with_the_rows(spark, images_and_tile, tmp_path):
+    images, tile = images_and_tile
+    zp = zeropoints(spark, ("a", 30.0), ("a", 31.0), ("c", 30.0), ("far", 30.0))
+    black = spark.createDataFrame([(2, 1), (2, 1)], "expnum long, ccdnum int")
+    counts = select.SelectionCounts()
+    df = select.select_inputs(tile, images, zeropoint=zp, blacklist=black, ccdnum=1, counts=counts)
+    path = str(tmp_path / "inputs")
+    tracker, before = spark.sparkContext.statusTracker(), spark.range(1).count()
+    spark.sparkContext.setJobGroup("counts", "one write")
+    df.write.parquet(path)
+    spark.sparkContext.setJobGroup("after", "")
+    assert before == 1 and len(tracker.getJobIdsForGroup("counts")) >= 1 and tracker.getJobIdsForGroup("after") == []
+    # a: two zero points; b, d: other detectors; c: blacklisted; far: off the tile
+    assert counts.values() == {"n_images": 5, "n_other_detector": 2, "n_blacklisted": 1, "n_without_zeropoint": 0, "n_candidates": 3, "n_pairs": 2}
+    assert tracker.getJobIdsForGroup("after") == []
+    assert counts.messages() == ["Found 2 input images of tiles", "Dropped 2 of 5 images: other detectors", "Dropped 1 of 5 images: blacklisted"]
+    plain = select.select_inputs(tile, images, zeropoint=zp, blacklist=black, ccdnum=1)
+    assert sorted(map(tuple, spark.read.parquet(path).select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_counts_of_nothing_found(spark, images_and_tile):
+    images, tile = images_and_tile
+    counts = select.SelectionCounts()
+    select.select_inputs(tile, images, zeropoint=zeropoints(spark, ("x", 1.0)), counts=counts).collect()
+    assert counts.values() == {"n_images": 5, "n_other_detector": 0, "n_blacklisted": 0, "n_without_zeropoint": 5, "n_candidates": 0, "n_pairs": 0}
+    assert counts.messages()[0] == "No input images found" and len(counts.messages()) == 2

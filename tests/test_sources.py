@@ -44,6 +44,50 @@ def test_older_tile_json(spark, tmp_path):
     assert row["ra_cent"] == 341.5 and row["dec_cent"] == -44.9 and row["crossra0"] == "N" and row["naxis1"] == 10000
 
 
+def test_tile_json_with_declared_types(spark):
+    record = {"RA_CENT": 1.5, "DEC_CENT": -2, "NAXIS1": 10000.0, "ID": None, "CROSSRA0": "Y", "other": [1, 2]}
+    docs = [
+        json.dumps({"tileinfo": record, "tilename": "A"}), json.dumps({"tileinfo": {"ra": 3.5, "ra_cent": 4.5, "naxis1": 10.5}, "TILENAME": "B"}),
+        json.dumps({"tileinfo": {"RA": "east", "DEC": 7}, "tilename": "C"}), '{"tileinfo": {"RA": 1', "[1]", "", json.dumps({"tilename": "D"}), None]
+    df = readers.parse_tile_json(spark.createDataFrame([(d,) for d in docs], "value string"))
+    assert dict(df.dtypes)["naxis1"] == "int" and dict(df.dtypes)["ra_cent"] == "double" and df.columns[-2:] == ["tilename", "misfit"]
+    got = [(r["tilename"], r["ra_cent"], r["dec_cent"], r["naxis1"], r["crossra0"], r["misfit"]) for r in df.collect()]
+    assert got[0] == ("A", 1.5, -2.0, 10000, "Y", None)
+    assert got[1] == ("B", 4.5, None, None, None, docs[1])  # 10.5 pixels
+    assert got[2] == ("C", None, 7.0, None, None, docs[2])
+    assert [g[0] for g in got[3:]] == [None, None, None, "D", None] and [g[5] for g in got[3:]] == docs[3:]
+
+
+def test_tile_dump_misfits(spark, tmp_path):
+    flat = tiling.flat_tiling(spark, tiling.TilingPlan(dec_end=28.0)).limit(3)
+    line = writers.tile_dump_lines(flat).first()["line"]
+    full = line[:12] + " " + "-179.123456"[:10] + line[23:]  # a column that fills its width
+    bad = [line.replace(" 10000", "     x"), line + " 1", "T,1,2", "name only"]
+    df = readers.parse_tile_dump(spark.createDataFrame([(v,) for v in (line, full, "# comment", " ", *bad)], "value string"))
+    got = df.collect()
+    assert [r["misfit"] for r in got] == [None, None, *bad] and got[1]["ra_cent"] == -179.12345
+    assert [r["tilename"] for r in got[4:]] == ["T", "name"] and got[4]["ra_cent"] == 1.0 and got[4]["udecu"] is None
+    assert got[2]["naxis1"] is None and got[2]["ra_cent"] == got[0]["ra_cent"]
+
+
+def test_one_file_a_list(spark, tmp_path):
+    """Groups of one row and of thousands: a file each, in order, with a header; awkward values come back."""
+    rng = random.Random(4)
+    rows = [("big", "g", f"/a/{rng.randrange(10**6):06d}.fits", 30.0 + k % 7) for k in range(5000)]
+    rows += [("small", "r", "/a/one.fits", 31.0), ("a/b =c", "g", "/b/2.fits", 1.0), ("a/b =c", "g", "/b/1.fits", 2.0)]
+    df = spark.createDataFrame(rows, "tilename string, band string, FILEPATH_LOCAL string, MAG_ZERO double")
+    path = str(tmp_path / "lists")
+    writers.write_list_files(df.repartition(7), path, ["tilename", "band"], ["FILEPATH_LOCAL", "MAG_ZERO"], names=("FILEPATH_LOCAL", "MAG_ZERO"))
+    files = {(r["tilename"], r["band"]): r for r in writers.list_files(spark, path, ["tilename", "band"]).collect()}
+    assert set(files) == {("big", "g"), ("small", "r"), ("a/b =c", "g")}
+    for group, found in files.items():
+        with open(found["file"].removeprefix("file:").replace("///", "/")) as file:
+            lines = file.read().splitlines()
+        want = sorted((r[2], r[3]) for r in rows if r[:2] == group)
+        assert lines[0] == "FILEPATH_LOCAL MAG_ZERO" and lines[1:] == [f"{p} {m}" for p, m in want]
+        assert found["n_bytes"] == len("\n".join(lines)) + 1
+
+
 def test_list_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("/a/x.fits", "g", 30.5), ("/a/y.fits", "r", 31.25)], "FILEPATH_LOCAL string, BAND string, MAG_ZERO double")
     path = str(tmp_path / "assoc")
@@ -155,6 +199,52 @@ def test_tables(spark):
     spark.sql("drop database sky cascade")
 
 
+def test_replace_a_table_from_itself(spark):
+    spark.sql("create database if not exists sky2")
+    name = "sky2.images"
+    assert tables.create_table(spark.range(10).selectExpr("id", "cast(id as string) as name"), name)
+    assert tables.create_table(spark.table(name).filter("id >= 4"), name, clobber=True)
+    assert sorted(r["id"] for r in spark.table(name).collect()) == [4, 5, 6, 7, 8, 9]
+    tables.append_rows(spark.table(name).filter("id > 7"), name)
+    assert sorted(r["id"] for r in spark.table(name).collect()) == [4, 5, 6, 7, 8, 8, 9, 9]
+    assert [r["tableName"] for r in spark.sql("show tables in sky2").collect()] == ["images"]
+    spark.sql("drop database sky2 cascade")
+
+
+def test_a_failed_replacement_leaves_the_table(spark):
+    spark.sql("create database if not exists sky3")
+    name = "sky3.images"
+    tables.create_table(spark.range(5), name)
+    midway = spark.range(0, 100, 1, 10).select(F.when(F.col("id") == 95, F.raise_error(F.lit("midway")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="midway"):
+        tables.create_table(midway, name, clobber=True)
+    with pytest.raises(Exception, match="midway"):
+        tables.append_rows(midway, name)
+    with pytest.raises(Exception, match="midway"):
+        tables.create_table(midway, "sky3.fresh")
+    assert spark.table(name).count() == 5 and [r["tableName"] for r in spark.sql("show tables in sky3").collect()] == ["images"]
+    spark.sql("drop database sky3 cascade")
+
+
+def test_compare_catalogs_by_row(spark, tmp_path):
+    """Paired by the rows' numbers in their files; numbers of rows differ."""
+    rows = [(k % 3, float(k), [float(k), 0.5]) for k in range(500)]
+    a = spark.createDataFrame(rows, "flag int, mag double, pair array<double>").coalesce(1)
+    b = spark.createDataFrame([(f, m + (0.5 if m == 77 else 0), p) for f, m, p in rows] + [(0, 1.0, None)] * 2, a.schema).coalesce(1)
+    for df, name in ((a, "a"), (b, "b")):
+        df.write.option("maxRecordsPerFile", 90).parquet(str(tmp_path / name))
+    stored = [spark.read.parquet(str(tmp_path / n)) for n in "ab"]
+    assert len(stored[0].inputFiles()) == 6
+    got = {r["column"]: (r["n_different"], r["is_equal"]) for r in quality.compare_catalogs_by_row(*stored).collect()}
+    assert got == {"row": (2, False), "flag": (2, False), "mag": (3, False), "pair": (2, False), "*": (None, False)}
+    same = {r["column"]: r["is_equal"] for r in quality.compare_catalogs_by_row(stored[0], stored[0]).collect()}
+    assert same == {"row": True, "flag": True, "mag": True, "pair": True, "*": True}
+    # in an order both have
+    shuffled = stored[0].repartition(5, "mag")
+    ordered = {r["column"]: r["is_equal"] for r in quality.compare_catalogs_by_row(stored[0], shuffled, ["mag"]).collect()}
+    assert ordered["*"] and ordered["pair"]
+
+
 def test_upsert_update_lookup(spark):
     base = spark.createDataFrame([("a", 1, 1.0), ("b", 2, 2.0)], "tilename string, id int, rac1 double")
     new = spark.createDataFrame([("b", 9, 9.0), ("c", 3, 3.0)], "tilename string, id int, rac1 double")
