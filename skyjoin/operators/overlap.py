@@ -121,7 +121,11 @@ def _search(search: str, wrap: str, pad: float) -> tuple[Box, Box, Column]:
 
 
 def _in_cells(df: DataFrame, box: Box, cell: float, p: str) -> DataFrame:
-    """One row per sky cell the box touches."""
+    """One row per sky cell the box touches; a box without limits touches none.
+
+    Cells have one number, so that the join's table is keyed by it. It is never NULL, which spares a test that
+    would work the number out once more.
+    """
     if abs(360 / cell - round(360 / cell)) > 1e-9:
         raise ValueError("cell must divide 360 degrees")
     turns = round(360 / cell)
@@ -130,17 +134,14 @@ def _in_cells(df: DataFrame, box: Box, cell: float, p: str) -> DataFrame:
     n_x = F.greatest(F.least(F.floor(hi / cell) - first_x + 1, F.lit(turns)), F.lit(1))
     n_y = F.greatest(F.floor((box.dec_hi + EDGE_DEG) / cell) - first_y + 1, F.lit(1))
     df = df.select(
-        "*", F.pmod(first_x, F.lit(turns)).alias(f"{p}_x0"), n_x.cast("int").alias(f"{p}_nx"),
-        first_y.alias(f"{p}_y0"),
+        "*", F.pmod(first_x, F.lit(turns)).cast("int").alias(f"{p}_x0"), n_x.cast("int").alias(f"{p}_nx"),
+        first_y.cast("int").alias(f"{p}_y0"),
         F.explode(F.sequence(F.lit(0), (n_x * n_y - 1).cast("int"))).alias(f"{p}_k"),
     )
     ix = F.pmod(F.col(f"{p}_k"), F.col(f"{p}_nx"))
-    iy = F.floor(F.col(f"{p}_k") / F.col(f"{p}_nx"))
-    return df.select(
-        "*", ix.alias(f"{p}_ix"), iy.alias(f"{p}_iy"),
-        F.pmod(F.col(f"{p}_x0") + ix, F.lit(turns)).alias(f"{p}_cx"),
-        (F.col(f"{p}_y0") + iy).alias(f"{p}_cy"),
-    )
+    iy = F.call_function("div", F.col(f"{p}_k"), F.col(f"{p}_nx")).cast("int")
+    number = (F.col(f"{p}_y0") + iy) * turns + F.pmod(F.col(f"{p}_x0") + ix, F.lit(turns))
+    return df.select("*", ix.alias(f"{p}_ix"), iy.alias(f"{p}_iy"), F.coalesce(number, F.lit(-1)).alias(f"{p}_cell"))
 
 
 def _owner(cell: float) -> Column:
@@ -188,7 +189,7 @@ def _met(cells: DataFrame, columns: list[str], tiles: DataFrame, search: str, wr
     _, tile_box, predicate = _search(search, wrap, pad)
     keep = [*columns, *tiles.columns]
     t = _in_cells(tiles, tile_box, cell, "_t")
-    on = (F.col("_i_cx") == F.col("_t_cx")) & (F.col("_i_cy") == F.col("_t_cy"))
+    on = F.col("_i_cell") == F.col("_t_cell")
     if salts > 1:
         t = t.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_t_salt"))
         on = on & (F.col("_i_salt") == F.col("_t_salt"))
@@ -210,7 +211,7 @@ def store_cells(
     hold more images than that (deep fields); the tile side is repeated once per salt.
     """
     image_box, _, _ = _search(search, "circle", pad)
-    keys = ["_i_cx", "_i_cy"] + (["_i_salt"] if salts > 1 else [])
+    keys = ["_i_cell"] + (["_i_salt"] if salts > 1 else [])
     cells = _salted_images(_in_cells(images, image_box, cell, "_i"), salts)
     # rows of a bucket come from one task, so a bucket is one sorted file
     writer = cells.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
