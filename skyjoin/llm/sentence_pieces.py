@@ -58,7 +58,8 @@ class CharacterMap:
 
     def __init__(self, data: bytes):
         size = struct.unpack_from("<I", data)[0] if data else 0
-        self.units = np.frombuffer(data, "<u4", size // 4, 4).tolist() if size else []
+        self.array = np.frombuffer(data, "<u4", size // 4, 4) if size else np.zeros(0, "<u4")
+        self.units = self.array.tolist()
         self.texts = data[4 + size :]
         #: Bytes that some key starts with; others stay as they are.
         self.starts = {byte for byte in range(1, 256) if self.units and self.child(self.offset(self.units[0]), byte) is not None}
@@ -91,16 +92,16 @@ class CharacterMap:
 
     def entries(self) -> Iterator[tuple[bytes, bytes]]:
         """All keys with their replacements."""
-        stack = [(self.offset(self.units[0]), b"")] if self.units else []
+        stack, labels = [(self.offset(self.units[0]), b"")] if self.units else [], np.arange(1, 256, dtype=np.uint32)
         while stack:
             node, key = stack.pop()
-            for byte in range(1, 256):
-                at = self.child(node, byte)
-                if at is not None:
-                    below = at ^ self.offset(self.units[at])
-                    if self.units[at] >> 8 & 1:
-                        yield key + bytes([byte]), self.replacement(self.units[below] & 0x7FFFFFFF)
-                    stack.append((below, key + bytes([byte])))
+            places = node ^ labels.astype(np.int64)
+            units = self.array[np.minimum(places, len(self.units) - 1)]
+            for byte in labels[(places < len(self.units)) & (units & np.uint32(0x800000FF) == labels)].tolist():
+                below = node ^ byte ^ self.offset(self.units[node ^ byte])
+                if self.units[node ^ byte] >> 8 & 1:
+                    yield key + bytes([byte]), self.replacement(self.units[below] & 0x7FFFFFFF)
+                stack.append((below, key + bytes([byte])))
 
 
 def character_size(byte: int) -> int:
@@ -201,7 +202,8 @@ class Model:
         #: The normaliser changes nothing but spaces, each to the mark.
         self.plain = not self.normalise.map.units and not self.tidy and normal["escape"]
         self.spaced = {number for text, number in self.ids.items() if text[:1] == MARK.decode()}
-        self.seen = Memory()
+        #: Chunks without and with the places of their pieces.
+        self.seen = Memory(), Memory()
         self.cuts = self.safe_cuts()
 
     def add(self, piece: dict) -> None:
@@ -370,7 +372,7 @@ def model(path: str) -> Model:
 
 def encode_batches(batches: Iterator[pa.RecordBatch], path: str, with_spans: bool) -> Iterator[pa.RecordBatch]:
     own = model(path)
-    seen = own.seen
+    seen = own.seen[with_spans]
 
     def part(chunk: bytes, first: bool, last: bool) -> tuple[int, bytes, bytes, int, tuple | None]:
         """Count of ids, ids as decimals, the text that they decode to, the bytes that the pieces stand for, and the pieces."""

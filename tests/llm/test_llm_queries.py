@@ -22,14 +22,15 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not p
 
 
 def test_registered():
-    assert set(QUERIES) <= set(entry_module.queries()) and len(QUERIES) == 11
+    assert set(QUERIES) <= set(entry_module.queries()) and len(QUERIES) == 14
     assert set(ORACLE) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for table in ("documents", "benchmark", "embeddings"):
+        con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     ok, note = compare(spark, con, name, SF, QUERIES, ORACLE)
     assert ok, note
 
