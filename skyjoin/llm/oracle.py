@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from skyjoin.llm import hard_negatives, importance, mixing, quality
+from skyjoin.llm import hard_negatives, importance, licences, mixing, quality
 
 WORD = r"[^\x20\x09-\x0D]+"
 LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -160,7 +160,49 @@ with valid as (
 select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score from ranked where rank <= 3
 """
 
+_common = ", ".join(f"'{t}'" for t in licences.COMMON)
+_terms = f"list_filter(regexp_extract_all(lower({{}}), '{licences.TERM}'), lambda t: t not in ({_common}))"
+_templates = ", ".join("({}, '{}', '{}')".format(k, i, text.replace("'", "''")) for k, (i, text) in enumerate(licences.TEMPLATES))
+_names = ", ".join(f"'{n}'" for n in licences.FILE_NAMES)
+
+#: Every term of every unit of the files, joined with the templates; the licence file in the longest folder above.
+LICENCES = f"""
+with templates(template, id, text) as (values {_templates}),
+wanted as (select template, id, term, count(*) as tf from (select template, id, unnest({_terms.format('text')}) as term from templates) group by all),
+named as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as text, length(coalesce(text, '')) <= 250 as brief, concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none')) as top from documents
+), files as (
+  select r, doc_id, text, case when brief and doc_id % 2 = 0 then top || '/LICENSE' when brief then top || '/' || (doc_id // 500) || '/LICENSE'
+    else top || '/' || (doc_id // 500) || '/' || doc_id || '.txt' end as path from named
+), rows as (select *, parse_filename(path) in ({_names}) as whole, regexp_replace(path, '/?[^/]*$', '') as folder from files),
+found as (
+  select r, unnest({_terms.format('text')}) as term from rows
+), df as (select term, count(distinct r) as df from found where term in (select term from wanted) group by term),
+idf as (select distinct term, ln((1 + (select count(*) from rows)) / (1 + coalesce(df, 0))::double) + 1 as idf from wanted left join df using (term)),
+weights as (select template, id, term, tf * idf / sqrt(sum((tf * idf) ** 2) over (partition by template)) as w from wanted join idf using (term)),
+units as (
+  select r, unnest(string_split(text, chr(10)) || list_filter(regexp_split_to_array(text, '{licences.PARAGRAPH}'), lambda b: contains(b, chr(10))) || case when whole then [text] else [] end) as unit from rows
+), numbered as (select r, row_number() over () as u, {_terms.format('unit')} as terms from units),
+counted as (select r, u, term, count(*) as tf from (select r, u, unnest(terms) as term from numbered) group by all),
+valued as (select r, u, term, tf * coalesce(idf, ln(1 + (select count(*) from rows)) + 1) as v from counted left join idf using (term)),
+norms as (select u, sqrt(sum(v * v)) as norm from valued group by u),
+cosines as (
+  select r, id, round(sum(v * w) / any_value(norm), 9) as cosine, count(*) as shared from valued join weights using (term) join norms using (u) group by r, u, template, id
+), best as (
+  select r, id as own_licence, cosine as score from cosines where cosine >= {licences.LEAST_COSINE} and shared >= {licences.LEAST_TERMS}
+  qualify row_number() over (partition by r order by cosine desc, id) = 1
+), held as (
+  select folder, min(path) as held_path, arg_min(own_licence, path) as held_licence from rows join best using (r) where whole group by folder
+), nearest as (
+  select r, held_path, held_licence from rows a join held h on h.folder = a.folder or h.folder = '' or starts_with(a.folder, h.folder || '/')
+  qualify row_number() over (partition by r order by length(h.folder) desc) = 1
+)
+select doc_id, path, own_licence, score, coalesce(own_licence, held_licence) as licence, case when own_licence is not null then path else held_path end as licence_path
+from rows left join best using (r) left join nearest using (r)
+"""
+
 ORACLE: dict[str, str] = {
+    "op9_licence_scan": LICENCES,
     "op11_importance_resampling": IMPORTANCE,
     "op12_hard_negatives": HARD_NEGATIVES,
     "op1_near_duplicates": NEAR_DUPLICATES,
