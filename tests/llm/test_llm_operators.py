@@ -1,6 +1,8 @@
 """Operators against plain Python: hard cases, empty tables, columns of clashing names."""
 
 import hashlib
+import math
+import re
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -249,18 +251,67 @@ def test_repeats_of_random_texts():
         assert spans == covered and max(found, default=0) == longest
 
 
+def template(identifier, kind=min):
+    return kind((t for i, t in licences.TEMPLATES if i == identifier), key=len)
+
+
 def test_licences(spark, stage):
-    mit, apache = licences.TEMPLATES[9][1], licences.TEMPLATES[0][1]
+    mit, apache = template("MIT"), template("Apache-2.0")
     rows = [(1, "a/LICENSE", f"{mit}\n{brute.prose(1, 3)}"), (2, "a/b/c/x.txt", brute.prose(2, 50)), (3, "a/b/LICENSE", apache), (4, "a/d/y.txt", ""), (5, "e/z.txt", f"{brute.prose(3, 9)}\n{apache}\nend"),
-            (6, None, None), (None, "a/b/q.txt", None), (7, "LICENSE", brute.prose(4, 5)), (8, "e/f/g.txt", None), (1, "a/LICENSE", f"{mit}\n{brute.prose(1, 3)}")]
+            (6, None, None), (None, "a/b/q.txt", None), (7, "LICENSE", brute.prose(4, 5)), (8, "e/f/g.txt", None), (1, "a/LICENSE", f"{mit}\n{brute.prose(1, 3)}"),
+            (9, "h/LICENSE", template("MIT", max)), (10, "h/i.c", f"/* {template('BSD-3-Clause', max)} */\n\n{brute.prose(5, 80)}"), (11, "h/j/k.c", "int x;")]
     files = spark.createDataFrame(rows, "doc_id long, path string, text string").selectExpr("*", *[f"'own' as {c}" for c in brute.CLASHES if c != "path"])
-    got = {(r.doc_id, r.path): (r.own_licence, r.licence, r.licence_path) for r in licences.scan(files, stage).collect()}
+    out = licences.scan(files, stage).collect()
+    got = {(r.doc_id, r.path): (r.own_licence, r.licence, r.licence_path) for r in out}
+    assert len(out) == len(rows)
     assert got[1, "a/LICENSE"][1] == "MIT"
     assert got[2, "a/b/c/x.txt"] == (None, "Apache-2.0", "a/b/LICENSE")
     assert got[4, "a/d/y.txt"] == (None, "MIT", "a/LICENSE")
     assert got[5, "e/z.txt"] == ("Apache-2.0", "Apache-2.0", "e/z.txt")
     assert got[6, None] == (None, None, None) and got[8, "e/f/g.txt"] == (None, None, None)
     assert got[None, "a/b/q.txt"][1:] == ("Apache-2.0", "a/b/LICENSE")
+    # a header of several lines, and a file below a directory with a whole licence text
+    assert got[10, "h/i.c"][0] == "BSD-3-Clause" and got[11, "h/j/k.c"] == (None, "MIT", "h/LICENSE")
+
+
+def licences_by_hand(rows, least_cosine=licences.LEAST_COSINE, least_terms=licences.LEAST_TERMS):
+    """(doc_id, path, own licence, score) of every row."""
+    def terms(text):
+        return [t for t in re.findall(licences.TERM, text.lower()) if t not in licences.COMMON]
+
+    wanted = [(i, Counter(terms(t))) for i, t in licences.TEMPLATES]
+    known = {t for _, c in wanted for t in c}
+    files = Counter(t for _, _, text in rows for t in set(terms(text or "")) & known)
+    idf = lambda t: math.log((1 + len(rows)) / (1 + files[t])) + 1
+    norm = lambda c: math.sqrt(sum((n * idf(t)) ** 2 for t, n in c.items()))
+    out = Counter()
+    for i, path, text in rows:
+        units = (text or "").split("\n") + [b for b in re.split(licences.PARAGRAPH, text or "") if "\n" in b]
+        units += [text or ""] if (path or "").split("/")[-1].upper() in licences.FILE_NAMES else []
+        found = []
+        for c in map(Counter, map(terms, units)):
+            for name, w in wanted:
+                both = set(c) & set(w)
+                cosine = round(sum(c[t] * w[t] * idf(t) ** 2 for t in both) / (norm(c) * norm(w)), 9) if both else 0
+                if cosine >= least_cosine and len(both) >= least_terms:
+                    found.append((-cosine, name))
+        out[(i, path, min(found)[1] if found else None, -min(found)[0] if found else None)] += 1
+    return out
+
+
+def test_licences_by_hand(spark, stage):
+    """Hard texts, repeated lines, ties of two identifiers, licences with words changed."""
+    rng = np.random.default_rng(3)
+    rows = [(i, f"{s}/f{i}.txt", t) for i, t, _, s, _ in ROWS]
+    rows += [(100 + k, f"l/{k}/LICENSE", f"{template('MIT')}\n" + "foo\n" * k) for k in (1, 2, 6)]
+    rows += [(110, "LICENSE", f"{template('CC-BY-4.0')}\n{template('CC-BY-NC-4.0')}"), (111, "COPYING", template("Apache-2.0") + " " + template("MIT"))]
+    for k, (_, text) in enumerate(licences.TEMPLATES):
+        kept = [w for w in text.split(" ") if rng.random() > 0.15]
+        rows += [(200 + k, f"t/{k}/notice", " ".join(kept)), (300 + k, f"t/{k}/x.c", f"x y\n\n{text}\n\n" + brute.prose(k, 40))]
+    got = Counter((r.doc_id, r.path, r.own_licence, r.score) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, path string, text string"), stage).collect())
+    assert got == licences_by_hand(rows)
+    scores = {i: s for i, _, _, s in got}
+    assert scores[101] and len([s for s in got if s[2]]) > 20
 
 
 def test_lm(hard, stage):
