@@ -37,6 +37,11 @@ def ids_of(block: pa.RecordBatch) -> np.ndarray:
     return np.asarray(pc.fill_null(block.column("doc_id"), LAST), np.int64)
 
 
+#: Entries of a window: the smallest document with an id in a block, one with an id that is settled, and documents without
+#: an id, known by a digest of their texts, not settled and settled.
+LOWEST, SETTLED, NAMELESS, NAMELESS_SETTLED = range(4)
+
+
 def packed(values: np.ndarray) -> bytes:
     """Bytes of the same weight together, which compress well where numbers are sorted or small."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
@@ -48,40 +53,44 @@ def unpacked(data: bytes, kind: type) -> np.ndarray:
 
 
 def window_batches(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Distinct windows of each block by bucket of their hash, with the block's smallest document (settled false);
-    and the block's other documents of such windows, which need no more search (settled true)."""
+    """Distinct windows of each block by bucket of their hash, with the block's smallest document (LOWEST);
+    and the block's other documents of such windows, which need no more search (SETTLED). Documents without an id
+    are larger than any with one, and are told apart by their digests."""
     for block in blocks(batches):
-        order = np.argsort(ids_of(block), kind="stable")
-        block = block.take(pa.array(order))
+        digests = np.asarray(pc.fill_null(block.column("digest"), 0), np.int64)
+        order = np.lexsort((digests, ids_of(block)))
+        block, digests = block.take(pa.array(order)), digests[order]
         ids, words = ids_of(block), Words(block.column("text"))
+        named = np.asarray(block.column("doc_id").is_valid())
         starts, hashes = window_hashes(words, size)
         order = np.argsort(hashes, kind="stable")
-        hashes, ids = hashes[order], ids[words.text_of[starts]][order]
+        text = words.text_of[starts][order]
+        hashes, ids, named, digests = hashes[order], ids[text], named[text], digests[text]
         new = np.ones(len(hashes), bool)
         new[1:] = hashes[1:] != hashes[:-1]
-        low = ids[new][np.cumsum(new) - 1] if len(ids) else ids
-        other = ids > low
-        other[1:] &= new[1:] | (ids[1:] != ids[:-1])
+        head = np.flatnonzero(new)[np.cumsum(new) - 1] if len(ids) else np.zeros(0, np.int64)
+        once = new.copy()
+        once[1:] |= (ids[1:] != ids[:-1]) | (named[1:] != named[:-1]) | (digests[1:] != digests[:-1])
         rows: list[tuple] = []
-        for settled, part in ((False, new), (True, other)):
-            h, i = hashes[part], ids[part]
+        for kind, part in ((LOWEST, new & named), (SETTLED, once & named & (ids > ids[head])), (NAMELESS, once & ~named & ~named[head]), (NAMELESS_SETTLED, once & ~named & named[head])):
+            h, i = hashes[part], (ids if kind in (LOWEST, SETTLED) else digests)[part]
             bucket = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             for a, b in zip([0, *cuts], [*cuts, len(h)], strict=True):
                 if a < b:
-                    rows.append((int(bucket[a]), settled, packed(h[a:b]), packed(i[a:b])))
+                    rows.append((int(bucket[a]), kind, packed(h[a:b]), packed(i[a:b])))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x, kind) for x, kind in zip(list(zip(*rows, strict=True)) or [[]] * 4, (pa.int64(), pa.bool_(), pa.binary(), pa.binary()), strict=True)],
-            ["bucket", "settled", "hashes", "ids"])
+            [pa.array(x, kind) for x, kind in zip(list(zip(*rows, strict=True)) or [[]] * 4, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
+            ["bucket", "kind", "hashes", "ids"])
 
 
 def repeated(table: pa.Table) -> pa.Table:
-    """doc_id, window of one bucket, where the window also starts in a document with a smaller doc_id."""
-    done = table.column("settled").to_pylist()
+    """doc_id or digest, window of one bucket, where the window also starts in a document with a smaller doc_id."""
+    done = table.column("kind").to_pylist()
     hashes = [unpacked(x, np.uint64) for x in table.column("hashes").to_pylist()]
     ids = [unpacked(x, np.int64) for x in table.column("ids").to_pylist()]
     pick = lambda parts, which, kind: np.concatenate([np.zeros(0, kind), *(p for p, d in zip(parts, done, strict=True) if d == which)])
-    h, i = pick(hashes, False, np.uint64), pick(ids, False, np.int64)
+    h, i = pick(hashes, LOWEST, np.uint64), pick(ids, LOWEST, np.int64)
     order = np.argsort(h, kind="stable")
     h, i = h[order], i[order]
     new = np.ones(len(h), bool)
@@ -89,9 +98,22 @@ def repeated(table: pa.Table) -> pa.Table:
     heads = np.flatnonzero(new)
     low = np.minimum.reduceat(i, heads)[np.cumsum(new) - 1] if len(h) else i
     later = i > low
+    owners = np.concatenate([i[later], pick(ids, SETTLED, np.int64)])
+    windows = np.concatenate([h[later], pick(hashes, SETTLED, np.uint64)])
+    # any document with an id is smaller than those without
+    nameless = pick(hashes, NAMELESS, np.uint64)
+    below = np.isin(nameless, h)
+    digests = np.concatenate([pick(ids, NAMELESS, np.int64)[below], pick(ids, NAMELESS_SETTLED, np.int64)])
+    nameless = np.concatenate([nameless[below], pick(hashes, NAMELESS_SETTLED, np.uint64)])
+    # copies of one text send the same from every block
+    order = np.lexsort((nameless, digests))
+    digests, nameless = digests[order], nameless[order]
+    new = np.ones(len(digests), bool)
+    new[1:] = (digests[1:] != digests[:-1]) | (nameless[1:] != nameless[:-1])
+    digests, windows = digests[new], np.concatenate([windows, nameless[new]]).view(np.int64)
+    free = [None] * len(digests)
     return pa.table({
-        "doc_id": np.concatenate([i[later], pick(ids, True, np.int64)]),
-        "window": np.concatenate([h[later], pick(hashes, True, np.uint64)]).view(np.int64)})
+        "doc_id": pa.array([*owners.tolist(), *free], pa.int64()), "digest": pa.array([*[None] * len(owners), *digests.tolist()], pa.int64()), "window": pa.array(windows)})
 
 
 def covered(words: Words, size: int, row_windows: list) -> np.ndarray:
@@ -151,17 +173,22 @@ def remove_repeats(documents: DataFrame, *, size: int = 13, buckets: int | None
     * The windows of a document, never more than it has words, meet its text; whole intervals are cut there.
 
     Null text: no words, stays null. Null doc_id: larger than any other; equal ids are not smaller than each
-    other. Texts with fewer than size words keep all. Other columns are ignored but for columns.
+    other. Rows without an id look up their windows by a digest of their text, so however many there are, each meets
+    its own windows only (of equal digests, those of either; which of them are repeated is the same for both).
+    Rows that share an id each meet the windows of all of them. Texts with fewer than size words keep all. Other columns are ignored but for columns.
     """
     docs = documents.select(
         F.struct(*[F.col(c) for c in columns]).alias("row") if columns else F.lit(0).alias("row"),
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        F.when(F.col("doc_id").isNull(), F.xxhash64(F.col("text").cast("string"))).alias("digest"))
     buckets = buckets or 8 * input_tasks(documents)
     cut: Callable = lambda batches: cut_batches(batches, size)
-    found = docs.select("doc_id", "text").mapInArrow(
-        lambda batches: window_batches(batches, size, buckets), "bucket long, settled boolean, hashes binary, ids binary")
-    windows = found.groupBy("bucket").applyInArrow(repeated, "doc_id long, window long")
-    lists = windows.groupBy(F.col("doc_id").alias("owner")).agg(F.collect_list("window").alias("windows"))
-    joined = docs.join(lists, F.coalesce("doc_id", F.lit(int(LAST))) == F.col("owner"), "left").select("row", "doc_id", "text", "windows")
+    found = docs.select("doc_id", "text", "digest").mapInArrow(
+        lambda batches: window_batches(batches, size, buckets), "bucket long, kind int, hashes binary, ids binary")
+    windows = found.groupBy("bucket").applyInArrow(repeated, "doc_id long, digest long, window long")
+    # an id, or the digest where there is none
+    own = F.coalesce("digest", "doc_id")
+    lists = windows.groupBy(own.alias("owner"), F.col("digest").isNotNull().alias("nameless")).agg(F.collect_list("window").alias("windows"))
+    joined = docs.join(lists, (own == F.col("owner")) & (F.col("digest").isNotNull() == F.col("nameless")), "left").select("row", "doc_id", "text", "windows")
     kind = docs.schema["row"].dataType.simpleString()
     return joined.mapInArrow(cut, f"row {kind}, doc_id long, n_words long, n_removed long, kept_sha256 string, text string")

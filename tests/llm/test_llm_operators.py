@@ -106,6 +106,15 @@ def test_substrings(hard):
     assert any(r.n_removed for r in got if r.doc_id == 10)
 
 
+def test_substrings_of_many_rows_without_an_id(spark):
+    """Rows without an id repeat rows that have one, or each other; some hold the same text."""
+    texts = [brute.prose(k, 40) for k in range(30)]
+    rows = [(k, t) for k, t in enumerate(texts[:20])] + [(None, t) for t in texts] + [(None, texts[k] + " " + texts[k + 1]) for k in range(29)]
+    rows += [(None, texts[3])] * 40 + [(None, texts[25])] * 40 + [(5, texts[4]), (5, texts[6]), (2, texts[7]), (None, None), (None, "")]
+    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect())
+    assert got == Counter((i, len(w), len(w) - len(left), sha(" ".join(left).encode())) for i, w, left in brute.without_repeats(rows))
+
+
 def test_token_counts(hard):
     automaton = token_counts.automaton(token_counts.VOCABULARY)
     first, later = map(set, token_counts.roles(load_tiktoken_bpe(token_counts.VOCABULARY)))

@@ -59,10 +59,15 @@ def stages(spark, docs):
 def check_stages(results):
     (docs, good), (_, once), (_, cut), (_, mixed), (_, ids) = results
     assert Counter(good) == Counter(r for r in docs if brute.quality(r.text)["kept"])
-    classes = brute.linked_classes(good, 5, 80)
-    kept = [r for r in good if r.doc_id is None or classes[r.doc_id] == r.doc_id]
-    assert Counter(r.doc_id for r in once) == Counter({r.doc_id: 1 for r in kept if r.doc_id is not None}) + Counter(r.doc_id for r in kept if r.doc_id is None)
-    assert set(once) <= set(kept)
+    # rows by number, in the order of their doc_ids
+    named = sorted((r for r in good if r.doc_id is not None), key=lambda r: r.doc_id)
+    classes = brute.linked_classes([(k, r.text) for k, r in enumerate(named)], 5, 80)
+    groups = {}
+    for k, r in enumerate(named):
+        groups.setdefault(classes[k], []).append(r)
+    assert Counter(r for r in once if r.doc_id is None) == Counter(r for r in good if r.doc_id is None)
+    assert Counter(r.doc_id for r in once if r.doc_id is not None) == Counter(g[0].doc_id for g in groups.values())
+    assert set(once) <= set(good)
     assert Counter((r.doc_id, tuple(brute.words(r.text))) for r in cut) == Counter((i, tuple(left)) for i, _, left in brute.without_repeats(once))
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in cut)
     times = Counter(mixed)
@@ -110,7 +115,10 @@ def test_mix_counts_rows_without_or_with_one_doc_id_each_by_itself(spark):
 def test_pipeline_of_hard_cases(spark):
     rows = [r for r in brute.hard_rows() if r[0] != 11]
     rows += [(40, brute.prose(9, 50), "en", "d", 9), (40, brute.prose(9, 50), "en", "d", 9), (40, brute.prose(10, 50), "en", "d", 9)]
-    check_stages(stages(spark, spark.createDataFrame(rows, brute.DOCUMENT)))
+    results = stages(spark, spark.createDataFrame(rows, brute.DOCUMENT))
+    check_stages(results)
+    # both texts of the doc_id stay, the repeated row once
+    assert Counter(r.text for r in results[1][1] if r.doc_id == 40) == {brute.prose(9, 50): 1, brute.prose(10, 50): 1}
 
 
 def test_pipeline_of_an_empty_table(spark):
