@@ -18,14 +18,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near-duplicates. Of rows that share a doc_id the
-    smallest stays; rows without one all stay, as they take part in no group."""
-    found = near_dup.near_duplicates(docs, Stage(spark, "pipeline"), size=SHINGLE, percent=SIMILAR)
-    kept = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg((F.count("*") > 1).alias("several"))
-    once = docs.join(kept.where("NOT several"), "doc_id", "left_semi")
-    several = docs.join(kept.where("several"), "doc_id", "left_semi")
-    smallest = several.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return once.select(docs.columns).unionByName(smallest).unionByName(docs.where("doc_id IS NULL"))
+    """The row with the smallest doc_id of each group of near-duplicates, one of them where several have it. Rows are
+    told apart by a number of their own, so rows that share a doc_id but not their texts all stay; rows without a
+    doc_id all stay, as they take part in no group."""
+    stage = Stage(spark, "pipeline")
+    # written, because a row's number must be the same in the search and in the join
+    rows = stage.write(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("number")), "numbered")
+    named = F.col("doc.doc_id").isNotNull()
+    found = near_dup.near_duplicates(rows.where(named).select(F.col("number").alias("doc_id"), "doc.text"), stage, size=SHINGLE, percent=SIMILAR)
+    ids = rows.where(named).select("number", F.col("doc.doc_id").alias("doc_id"))
+    groups = found.join(ids, found.doc_id == ids.number).groupBy("component_id").agg(F.min(F.struct(ids.doc_id, "number")).alias("least"))
+    kept = groups.select(F.col("least.number").alias("number"))
+    return rows.where(named).join(kept, "number", "left_semi").unionByName(rows.where(~named)).select("doc.*")
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
