@@ -7,8 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registry.standins import table
+from skyjoin import schemas
 from skyjoin.functions import healpix, naming, photometry, sphere, wcs
 from skyjoin.operators import coverage, depth, lists, ordering, overlap, quality, sampling, stats, tiling
 from skyjoin.plans import builders, lineage, select
@@ -782,6 +784,71 @@ def constraint_violations(t):
 # -- text formats ------------------------------------------------------------------------------------
 
 
+def _assoc_rows(t):
+    df = select.select_inputs(t.sky_tile, t.sky_image, zeropoint=t.sky_zeropoint)
+    return df.select("tilename", F.col("band").alias("filter"), F.col("filename").alias("FILEPATH_LOCAL"), F.col("band").alias("BAND"), "mag_zero").withColumnRenamed("mag_zero", "MAG_ZERO")
+
+
+def _scratch(t, name):
+    return f"{staging.shared_folder(t._spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def list_files(t):
+    """One ordered file for each tile and band, line by line as written."""
+    path = _scratch(t, "lists")
+    writers.write_list_files(_assoc_rows(t), path, ["tilename", "filter"], ["FILEPATH_LOCAL", "MAG_ZERO"])
+    lines = t._spark.read.text(path, wholetext=True)
+    lines = lines.select("tilename", "filter", F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("place", "line"))
+    return lines.select("tilename", "filter", "place", "line")
+
+
+@query
+def list_rows(t):
+    """The same lists read back with declared types."""
+    path = _scratch(t, "lists")
+    writers.write_list(_assoc_rows(t), path, by=["tilename", "filter"])
+    return readers.read_list(t._spark, path, T.StructType([*schemas.ASSOC, T.StructField("tilename", T.StringType()), T.StructField("filter", T.StringType())]))
+
+
+@query
+def sorted_list_lines(t):
+    """Lists of which a group may fill several files: their lines in the order of the files."""
+    path = _scratch(t, "sorted")
+    lines = _assoc_rows(t).select("tilename", F.concat_ws(" ", "FILEPATH_LOCAL", "BAND", F.col("MAG_ZERO").cast("string")).alias("line"), F.col("FILEPATH_LOCAL").alias("key"))
+    writers.write_sorted_text(lines, path, ["key", "line"], by=["tilename"])
+    files = t._spark.read.text(path, wholetext=True).select("tilename", F.col("_metadata.file_name").alias("file"), "value")
+    whole = files.groupBy("tilename").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("file", "value"))), lambda f: f["value"]), "").alias("value"))
+    return whole.select("tilename", F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("place", "line"))
+
+
+@query
+def stored_table(t):
+    """A table created, replaced by a part of itself, and added to."""
+    name = f"images_{uuid.uuid4().hex}"
+    rows = t.sky_image.select("filename", "band", "expnum", "ccdnum")
+    before = tables.table_exists(t._spark, name)
+    tables.create_table(rows.filter("band <> 'r'"), name)
+    kept = tables.create_table(rows, name)
+    tables.create_table(t._spark.table(name).filter("ccdnum < 4"), name, clobber=True)
+    tables.append_rows(rows.filter("band = 'r'").select("ccdnum", "expnum", "band", "filename"), name)
+    tables.append_rows(t._spark.table(name).filter("ccdnum = 1 AND band = 'g'"), name)
+    return t._spark.table(name).select("*", F.lit(before).alias("was_there"), F.lit(kept).alias("replaced_unasked"), F.lit(tables.table_exists(t._spark, name)).alias("is_there"))
+
+
+@query
+def stored_columns(t):
+    """Columns of the stored tile table with their comments and stored types, and what they hold."""
+    tiles = schemas.with_comments(schemas.to_sink_types(t.sky_tile.select("tilename", "ra_cent", "dec_cent", "rac2", "racmin", "pixelscale", "naxis1", "crossra0"), "coaddtile"))
+    name = f"tiles_{uuid.uuid4().hex}"
+    tables.create_table(tiles, name)
+    stored = t._spark.table(name)
+    held = F.inline(F.array(*[F.struct(
+        F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), F.lit(f.metadata.get("comment")).alias("comment"),
+        F.col(f.name).cast("string").alias("value")) for f in stored.schema]))
+    return stored.select(held).groupBy("column", "type", "comment").agg(F.count("value").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
+
+
 @query
 def tile_json_lines(t):
     return writers.tile_json(t.sky_tile.withColumn("id", F.col("tile_id").cast("int"))).select(
