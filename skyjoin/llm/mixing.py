@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -80,6 +80,17 @@ def block_quotas(targets: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS,
         "source", "source_size", "target", "block_size", F.coalesce("quota", F.lit(0)).alias("quota"), "shard_quotas")
 
 
+def running(rows: DataFrame, part: Column, order: list[str], value: str, name: str) -> DataFrame:
+    """rows with the running sum of value along each source. part grows with order: rows are summed within a part, in a task
+    each, after the sums of the parts before, so a source with most of the rows is not one task's."""
+    rows = rows.withColumn("part", part)
+    sums = rows.groupBy(F.col("source").alias("of"), F.col("part").alias("at")).agg(F.sum(value).alias("sum"))
+    before = F.sum("sum").over(W.partitionBy("of").orderBy("at")) - F.col("sum")
+    within = F.sum(value).over(W.partitionBy("source", "part").orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+    placed = rows.withColumn("within", within).join(sums.select("of", "at", before.alias("offset")), F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("at")))
+    return placed.withColumn(name, F.col("offset") + F.col("within")).drop("part", "of", "at", "within", "offset")
+
+
 def mix(documents: DataFrame, stage: Stage, *, blocks: int = BLOCKS, shards: int = SHARDS, most: int = MOST, seed: int = SEED, buckets: int | None = None, columns: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, size, source_size, target, taken for each row of documents (doc_id, text, source), and row,
     a struct of the named columns of documents, if any are named.
@@ -90,8 +101,8 @@ def mix(documents: DataFrame, stage: Stage, *, blocks: int = BLOCKS, shards: int
     words of a document in all passes and drawn blocks; a block may end inside a document, and a source's last
     block is shorter. No document is taken more than most times.
 
-    Places are running sums within buckets of the order, so a source with most of the rows is spread over all
-    tasks; what is joined with the documents has one row per bucket of a source, or per block.
+    Places are running sums within buckets of the order, and so are those of blocks, so a source with most of the rows is
+    spread over all tasks; what is joined with the documents has one row per bucket of a source, or per block.
 
     Null text: size 0, taken 0. Null source: a source of its own, last. Null doc_id: ordered as an empty one;
     rows with one doc_id are placed by size, and equal rows may change places. No words at all: targets and
@@ -119,15 +130,13 @@ def mix(documents: DataFrame, stage: Stage, *, blocks: int = BLOCKS, shards: int
     numbers = plan.where("source_size > 0").select(
         "source", "source_size", "block_size", "rest", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((source_size - 1) / F.col("block_size")))).alias("block"))
     draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce("source", F.lit("")), F.col("block").cast("string")).cast("binary"))
-    by_draw = W.partitionBy("source").orderBy(draw, "block")
-    numbers = numbers.withColumn("words", F.least(F.col("block_size"), source_size - F.col("block") * F.col("block_size")))
+    numbers = numbers.withColumns({"words": F.least(F.col("block_size"), source_size - F.col("block") * F.col("block_size")), "draw": draw})
     # blocks in drawn order until the rest is met, nearer than half a block
-    met = F.sum("words").over(by_draw)
-    numbers = numbers.withColumn("chosen", met - F.col("words") / 2 <= F.col("rest"))
-    chosen_words = F.when(F.col("chosen"), F.col("words")).otherwise(F.lit(0))
-    by_place = W.partitionBy("source").orderBy("block")
-    drawn_blocks = stage.write(numbers.select(
-        "source", "block", "chosen", (F.sum(chosen_words).over(by_place) - chosen_words).alias("before")), "blocks")
+    met = running(numbers, F.substring("draw", 1, 2), ["draw", "block"], "words", "met")
+    met = stage.write(met.select("source", "block", "words", (F.col("met") - F.col("words") / 2 <= F.col("rest")).alias("chosen")), "met")
+    met = met.withColumn("chosen_words", F.when(F.col("chosen"), F.col("words")).otherwise(F.lit(0)))
+    drawn_blocks = stage.write(running(met, F.shiftright("block", 8), ["block"], "chosen_words", "upto").select(
+        "source", "block", "chosen", (F.col("upto") - F.col("chosen_words")).alias("before")), "blocks")
 
     # places of documents in their source's order
     by_bucket = W.partitionBy("source").orderBy("bucket")
