@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from skyjoin.llm.common import blocks, text_bytes
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
-#: Bytes of a piece that are merged at once; longer pieces are halved.
+#: Bytes of a piece that are merged at once, and ids that are decoded at once; more are halved.
 LEAF = 24
 #: Distinct chunks, and distinct pieces, in each of the two generations that a worker remembers.
 REMEMBERED = 100_000
@@ -132,8 +132,11 @@ class Codec:
         return ids
 
     def decode(self, ids: list[int]) -> bytes:
-        """Bytes of ids: those of the halves, one after the other."""
-        return b"".join(map(self.pieces.__getitem__, ids))
+        """Bytes of ids: those of the halves, one after the other, down to LEAF ids."""
+        if len(ids) <= self.leaf:
+            return b"".join(map(self.pieces.__getitem__, ids))
+        half = len(ids) // 2
+        return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
 @functools.lru_cache(2)
