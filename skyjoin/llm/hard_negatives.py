@@ -15,8 +15,9 @@ from skyjoin.llm.common import Stage
 from skyjoin.operators.ordering import with_position
 
 SCALE = 256
-#: Rows of a length bucket, rows that one task holds at most, and coordinates of an anchor that ranges are looked up for.
-BUCKET, HELD, FOCUS = 512, 65_536, 4
+#: Rows of a length bucket, numbers of vectors that one task holds at most (24 bytes each with their order), and coordinates
+#: of an anchor that ranges are looked up for.
+BUCKET, HELD, FOCUS = 512, 1 << 22, 4
 #: Stands for a null vec_id, which comes last.
 NO_ID = (1 << 63) - 1
 #: Values of vectors beyond this are cut to it, so that sums of products fit 64 bits.
@@ -158,7 +159,7 @@ def exact(vectors: np.ndarray, vector: np.ndarray) -> np.ndarray:
 
 
 def answers(batches: Iterator[pa.RecordBatch], width: int, count: int) -> Iterator[pa.RecordBatch]:
-    """Parts one after the other: first the rows of a part (kind 0), of which HELD at most are kept, then its anchors (kind 1)."""
+    """Parts one after the other: first the rows of a part (kind 0), which are kept, then its anchors (kind 1)."""
     part, held, index = None, [], None
     for batch in batches:
         numbers, kinds = np.asarray(batch.column("part")), np.asarray(batch.column("kind"))
@@ -220,7 +221,7 @@ def mine(embeddings: DataFrame, stage: Stage, *, every: int = 50, changed: int =
     label, each gets the first negatives rows of other labels with least_percent to most_percent of its score. Higher
     scores come first, then smaller vec_id.
 
-    Rows are stored by label and falling length, and parts of HELD rows or fewer meet the anchors in one task each; an
+    Rows are stored by label and falling length, and parts of HELD numbers or fewer meet the anchors in one task each; an
     anchor goes to the parts that hold its label, then to those that can reach the lowest score it takes. There
     buckets of BUCKET rows keep every coordinate in order; see Index and Bucket. No row or score is left out: pruning
     drops only what can't reach the score looked for.
@@ -234,9 +235,8 @@ def mine(embeddings: DataFrame, stage: Stage, *, every: int = 50, changed: int =
     moved = F.when(F.col("vec_id") % changed == 0, (F.col("label") + 1) % labels).otherwise(F.col("label"))
     rows = stage.write(given.mapInArrow(quantised, "vec_id long, label int, length double, vector binary").withColumn("label", moved), "rows")
     size = rows.agg(F.count("*").alias("n"), F.coalesce(F.max(F.octet_length("vector")), F.lit(0)).alias("bytes")).first()
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    in_part = min(HELD, max(BUCKET, -(-size.n // tasks)))
-    width = size.bytes // 4
+    tasks, width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), size.bytes // 4
+    in_part = min(max(1, HELD // max(width, 1)), max(BUCKET, -(-size.n // tasks)))
 
     rows = with_position(rows, ["label", F.col("length").desc(), F.col("vec_id").asc_nulls_last()], "at")
     rows = rows.withColumn("part", F.floor((F.col("at") - 1) / in_part))

@@ -134,7 +134,7 @@ def test_hard_negatives(spark, stage, monkeypatch):
 
 def test_hard_negatives_in_many_parts(spark, stage, monkeypatch):
     monkeypatch.setattr(hard_negatives, "BUCKET", 32)
-    monkeypatch.setattr(hard_negatives, "HELD", 96)
+    monkeypatch.setattr(hard_negatives, "HELD", 96 * 12)
     rows = [r for r in hard_vectors() if r[0] != 2450]
     # a third of all rows of one label
     rows = [(i, v, 1 if label is not None and n % 3 == 0 else label) for n, (i, v, label) in enumerate(rows)]
