@@ -18,18 +18,23 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest doc_id of each group of near-duplicates, one of them where several have it. Rows are
-    told apart by a number of their own, so rows that share a doc_id but not their texts all stay; rows without a
-    doc_id all stay, as they take part in no group."""
-    stage = Stage(spark, "pipeline")
-    # written, because a row's number must be the same in the search and in the join
-    rows = stage.write(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("number")), "numbered")
-    named = F.col("doc.doc_id").isNotNull()
-    found = near_dup.near_duplicates(rows.where(named).select(F.col("number").alias("doc_id"), "doc.text"), stage, size=SHINGLE, percent=SIMILAR)
-    ids = rows.where(named).select("number", F.col("doc.doc_id").alias("doc_id"))
-    groups = found.join(ids, found.doc_id == ids.number).groupBy("component_id").agg(F.min(F.struct(ids.doc_id, "number")).alias("least"))
-    kept = groups.select(F.col("least.number").alias("number"))
-    return rows.where(named).join(kept, "number", "left_semi").unionByName(rows.where(~named)).select("doc.*")
+    """The row with the smallest doc_id of each group of near-duplicates, one of them where several have it. Rows that share
+    a doc_id are told apart by numbers of their own, so those with different texts all stay; rows without a doc_id all
+    stay, as they take part in no group."""
+    stage, named = Stage(spark, "pipeline"), docs.where("doc_id IS NOT NULL")
+    shared = named.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
+    single = named.join(shared, "doc_id", "left_anti").select(docs.columns)
+    # written, because a row's number must be the same in the search and in the join; numbers follow all doc_ids
+    last = named.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("long").alias("last")).first()["last"]
+    twins = stage.write(named.join(shared, "doc_id", "left_semi").select(
+        F.struct(*docs.columns).alias("doc"), (F.lit(last + 1) + F.monotonically_increasing_id()).alias("number")), "twins")
+    found = near_dup.near_duplicates(single.select("doc_id", "text").unionByName(
+        twins.select(F.col("number").alias("doc_id"), "doc.text")), stage, size=SHINGLE, percent=SIMILAR)
+    own = twins.select("number", F.col("doc.doc_id").alias("own"))
+    groups = found.join(own, found.doc_id == own.number, "left").groupBy("component_id").agg(F.min(F.struct(F.coalesce("own", "doc_id").alias("own"), "doc_id")).alias("least"))
+    kept = stage.write(groups.select(F.col("least.doc_id").alias("number")), "kept")
+    once = single.join(kept, single.doc_id == kept.number, "left_semi")
+    return once.unionByName(twins.join(kept, "number", "left_semi").select("doc.*")).unionByName(docs.where("doc_id IS NULL"))
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
