@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -10,6 +11,7 @@ from math import log10
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tiktoken.load import load_tiktoken_bpe
@@ -60,6 +62,18 @@ def test_bpe(hard, encoding):
     assert all(back[i] == (t or "") for i, t, *_ in ROWS if i is not None)
 
 
+def test_bpe_chunks(encoding):
+    """Texts of kinds side by side, apostrophes and blanks, cut into chunks: the ids are those of whole texts."""
+    draw = random.Random(1)
+    alphabet = ["a", "B", "the", "'s", "'", "s", "'ll", "1", "23", "-", "!", "_", "é", "\u0301", "東", "\n", " ", "  ", "\t", "x1", "don't", "٣", "º", "Ⅷ", "😀", "\u3000", "'ve1", "''s", "("]
+    texts = ["".join(draw.choices(alphabet, k=draw.randrange(30))) for _ in range(5000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    rows = [r for b in bpe.encode_batches(iter([batch]), bpe.VOCABULARY, public_tokenizers.PATTERN, True) for r in b.to_pylist()]
+    assert [r["ids"] for r in rows] == [encoding.encode_ordinary(t) for t in texts]
+    assert all(r["decoded_sha256"] == sha(t.encode()) for r, t in zip(rows, texts, strict=True))
+    assert bpe.codec(bpe.VOCABULARY).decode(rows[7]["ids"] * 500).decode() == texts[7] * 500
+
+
 def test_bpe_joins(encoding):
     """The tree of halves at many leaf sizes gives the ids of direct encoding."""
     own = bpe.codec(bpe.VOCABULARY)
