@@ -159,12 +159,27 @@ TWO = np.zeros(256, bool)
 TWO[0xC3:0xE0] = True
 
 
-def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+#: Letters (1), digits (2) and other visible characters (3) of ASCII.
+KINDS = np.zeros(256, np.uint8)
+KINDS[0x21:0x7F] = 3
+KINDS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+KINDS[0x30:0x3A] = 2
+#: Bytes side by side of different kinds: a match holds one kind, but for an apostrophe and the letters after it.
+APART = (KINDS[:, None] > 0) & (KINDS > 0) & (KINDS[:, None] != KINDS)
+APART[0x27] = False
+
+
+def chunk_starts(data: np.ndarray, offsets: np.ndarray, by_kind: bool = True) -> np.ndarray:
     """Where to cut texts so that no match of the pattern lies across a cut: before a space with no white space
-    on either side, and at the start of each text."""
+    on either side, between ASCII characters of different kinds if by_kind, and at the start of each text."""
     space = np.flatnonzero(data[2:-1] == 0x20) + 2 if len(data) > 3 else np.zeros(0, np.int64)
     before = PLAIN[data[space - 1]] | ((data[space - 1] & 0xC0) == 0x80) & TWO[data[space - 2]]
-    return np.union1d(space[before & OPENS[data[space + 1]]], offsets)
+    cut = np.zeros(len(data) + 1, bool)
+    if by_kind:
+        cut[1:-1] = APART[data[:-1], data[1:]]
+    cut[space[before & OPENS[data[space + 1]]]] = True
+    cut[offsets] = True
+    return np.flatnonzero(cut)
 
 
 def encode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str, with_ids: bool) -> Iterator[pa.RecordBatch]:
@@ -183,7 +198,7 @@ def encode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str, w
 
     for block in blocks(batches):
         data, offsets = text_bytes(block.column("text"))
-        starts = chunk_starts(data, offsets)
+        starts = chunk_starts(data, offsets, pattern == public_tokenizers.PATTERN)
         chunks = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)]).dictionary_encode()
         codes, distinct = np.asarray(chunks.indices), chunks.dictionary.to_pylist()
         found = [seen.get(chunk) or encoded(chunk) for chunk in distinct]
