@@ -1,0 +1,56 @@
+"""Plans and results that tables of many times the size depend on; Spark reckons compressed files far too small."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from registry import queries
+from skyjoin.operators import lists, overlap
+
+TILE = "tilename string, ra_cent double, dec_cent double, ra_size double, dec_size double"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("tables"))
+    spark.range(200).select(
+        F.format_string("T%04d", "id").alias("tilename"), (F.col("id") * 7 % 360).cast("double").alias("ra_cent"),
+        (F.col("id") % 50 - 25).cast("double").alias("dec_cent"), F.lit(1.0).alias("ra_size"), F.lit(1.0).alias("dec_size")).write.parquet(f"{folder}/tiles")
+    spark.range(2000).select(
+        F.concat(F.lit("i"), "id").alias("filename"), (F.col("id") * 13 % 3600 / 10).alias("ra_cent"), (F.col("id") * 11 % 500 / 10 - 25).alias("dec_cent"),
+        F.lit(0.25).alias("ra_size"), F.lit(0.125).alias("dec_size")).write.parquet(f"{folder}/images")
+    return spark.read.parquet(f"{folder}/images"), spark.read.parquet(f"{folder}/tiles")
+
+
+@pytest.fixture(scope="module")
+def given(spark, tmp_path_factory):
+    """A folder with tables like the given ones."""
+    folder = str(tmp_path_factory.mktemp("given"))
+    spark.range(300).select(
+        F.col("id").alias("p_partkey"), F.lit("p").alias("p_name"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"),
+        (F.col("id") % 50 + 1).cast("int").alias("p_size"), F.lit(1.0).alias("p_retailprice")).write.parquet(f"{folder}/part.parquet")
+    spark.range(3000).select(
+        (F.col("id") / 4).cast("long").alias("l_orderkey"), (F.col("id") * 7 % 300).alias("l_partkey"), (F.col("id") % 20).alias("l_suppkey"),
+        (F.col("id") % 4 + 1).cast("int").alias("l_linenumber"), F.lit(5.0).alias("l_quantity"), (F.col("id") * 3.5).alias("l_extendedprice"),
+        F.lit(0.1).alias("l_discount"), F.lit(0.05).alias("l_tax"), F.lit("A").alias("l_returnflag"), F.lit("O").alias("l_linestatus")).write.parquet(f"{folder}/lineitem.parquet")
+    return folder
+
+
+def test_tiles_of_files_are_not_broadcast(tables):
+    images, tiles = tables
+    pairs = overlap.overlap_join(images, tiles)
+    assert "SortMergeJoin" in plan(pairs) and "Broadcast" not in plan(pairs)
+    test = (F.least(F.abs(F.col("i.ra_cent") - F.col("t.ra_cent")), 360 - F.abs(F.col("i.ra_cent") - F.col("t.ra_cent"))) < 0.625) & (
+        F.abs(F.col("i.dec_cent") - F.col("t.dec_cent")) < 0.5625)
+    brute = images.alias("i").crossJoin(tiles.alias("t")).filter(test).select("filename", "tilename")
+    assert sorted(pairs.select("filename", "tilename").collect()) == sorted(brute.collect())
+
+
+def test_bands_are_made_distinct_before_they_are_collected(spark):
+    rows = spark.createDataFrame([("a", "r"), ("a", "g"), ("a", "r"), ("a", None), ("b", None), (None, "z")], "tilename string, band string")
+    df = lists.bands_present(rows)
+    assert {r["tilename"]: r["bands"] for r in df.collect()} == {"a": ["g", "r"], "b": [], None: ["z"]}
+    assert "collect_set" not in plan(df)
