@@ -843,10 +843,11 @@ def stored_columns(t):
     name = f"tiles_{uuid.uuid4().hex}"
     tables.create_table(tiles, name)
     stored = t._spark.table(name)
-    held = F.inline(F.array(*[F.struct(
+    # One row of aggregates, turned afterwards: extremes of text by group would sort a row for every value.
+    kept = stored.agg(F.count(F.lit(1)).alias("_rows"), *[F.struct(
         F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), F.lit(f.metadata.get("comment")).alias("comment"),
-        F.col(f.name).cast("string").alias("value")) for f in stored.schema]))
-    return stored.select(held).groupBy("column", "type", "comment").agg(F.count("value").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
+        F.count(f.name).alias("n"), F.min(F.col(f.name).cast("string")).alias("least"), F.max(F.col(f.name).cast("string")).alias("most")).alias(f.name) for f in stored.schema])
+    return kept.filter("_rows > 0").select(F.inline(F.array(*[F.col(f.name) for f in stored.schema])))
 
 
 @query

@@ -54,3 +54,10 @@ def test_bands_are_made_distinct_before_they_are_collected(spark):
     df = lists.bands_present(rows)
     assert {r["tilename"]: r["bands"] for r in df.collect()} == {"a": ["g", "r"], "b": [], None: ["z"]}
     assert "collect_set" not in plan(df)
+
+
+def test_extremes_of_columns_are_not_sorted(spark, given):
+    df = queries.QUERIES["stored_columns"](spark, given)
+    assert "hashpartitioning" not in plan(df) and "Sort " not in plan(df)
+    rows = {r["column"]: r for r in df.collect()}
+    assert rows["tilename"]["n"] == 300 and rows["tilename"]["least"] == "T00000000" and rows["crossra0"]["most"] == "Y"
