@@ -865,7 +865,8 @@ def tile_json_records(t):
     now = writers.tile_json(tiles).select(F.col("json").alias("value"), "tilename")
     older = F.format_string('{"tileinfo": {"RA": %s, "DEC": %s, "CROSSRAZERO": "%s", "NAXIS1": 10000.0, "PIXELSCALE": %s}, "tilename": "%s"}', "ra_cent", "dec_cent", "crossra0", F.when(F.col("tile_id") % 7 == 0, F.lit('"fine"')).otherwise(F.lit("0.36")), "tilename")
     given = F.when(F.col("tile_id") % 3 == 0, F.col("value")).when(F.col("tile_id") % 3 == 1, older).otherwise(F.substring("value", 1, 40))
-    documents = tiles.join(now, "tilename").select(given.alias("value"))
+    # Spark reckons with the compressed tiles, not with their documents, and would broadcast these
+    documents = tiles.join(now.hint("merge"), "tilename").select(given.alias("value"))
     df = readers.parse_tile_json(documents)
     return df.select("tilename", *rounded("ra_cent", "dec_cent", "rac1"), "crossra0", "naxis1", "id", "pixelscale", F.length("misfit").alias("misfit_length"))
 

@@ -56,6 +56,10 @@ def test_bands_are_made_distinct_before_they_are_collected(spark):
     assert "collect_set" not in plan(df)
 
 
+def test_documents_of_tiles_are_not_broadcast(spark, given):
+    assert "Broadcast" not in plan(queries.QUERIES["tile_json_records"](spark, given))
+
+
 def test_extremes_of_columns_are_not_sorted(spark, given):
     df = queries.QUERIES["stored_columns"](spark, given)
     assert "hashpartitioning" not in plan(df) and "Sort " not in plan(df)
