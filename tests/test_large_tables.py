@@ -56,6 +56,18 @@ def test_bands_are_made_distinct_before_they_are_collected(spark):
     assert "collect_set" not in plan(df)
 
 
+def test_a_stored_table_has_more_buckets_where_it_has_more_images(spark, tables, tmp_path, monkeypatch):
+    images, tiles = tables
+    monkeypatch.setattr(overlap, "BUCKET_IMAGES", 100)
+    overlap.store_cells(images, "cells_of_many", buckets=2, path=str(tmp_path / "cells"))
+    try:
+        assert "20 buckets" in spark.sql("describe extended cells_of_many").filter("col_name = 'Num Buckets'").selectExpr("concat(data_type, ' buckets')").first()[0]
+        stored = overlap.overlap_join_stored(spark.table("cells_of_many"), tiles).select("filename", "tilename")
+        assert sorted(stored.collect()) == sorted(overlap.overlap_join(images, tiles).select("filename", "tilename").collect())
+    finally:
+        spark.sql("drop table cells_of_many")
+
+
 def test_documents_of_tiles_are_not_broadcast(spark, given):
     assert "Broadcast" not in plan(queries.QUERIES["tile_json_records"](spark, given))
 
