@@ -68,6 +68,13 @@ def test_a_stored_table_has_more_buckets_where_it_has_more_images(spark, tables,
         spark.sql("drop table cells_of_many")
 
 
+def test_tiles_meet_their_pixels_before_images(spark, given):
+    """The last join is the one with the images: pairs are not moved once more."""
+    text = queries.QUERIES["images_centred_in_tiles"](spark, given)._jdf.queryExecution().optimizedPlan().toString()
+    first = next(line for line in text.splitlines() if "Join" in line)
+    assert "hpix" in first and "Broadcast" not in plan(queries.QUERIES["images_centred_in_tiles"](spark, given))
+
+
 def test_documents_of_tiles_are_not_broadcast(spark, given):
     assert "Broadcast" not in plan(queries.QUERIES["tile_json_records"](spark, given))
 
