@@ -149,6 +149,37 @@ def test_product_files(spark):
     assert naming.with_product_paths(rows, "/t").count() == len(naming.PRODUCT_FILES) < 200
 
 
+def test_product_paths_put_pieces_side_by_side(spark):
+    """As field after field filled in, for every kind, for missing fields and for texts with braces."""
+    values = [("T1", "r", 77, "v3"), (None, None, None, None), ("a{band}b{exposure}", "{suffix}", 5, "{base}"), ("x}", "", 1, "{")]
+    rows = spark.createDataFrame([(*v, k) for v in values for k in [*naming.PRODUCT_FILES, "no such kind", None]], "base string, band string, exposure int, suffix string, kind string")
+
+    def filled(base, band, exposure, suffix, kind, fields=("base", "band", "exposure", "suffix")):
+        if kind not in naming.PRODUCT_FILES:
+            return "/t"
+        subdir, name = naming.PRODUCT_FILES[kind]
+        for key, value in zip(("base", "band", "exposure", "suffix"), (base, band, exposure, suffix)):
+            if key in fields:
+                name = name.replace("{%s}" % key, "" if value is None else str(value))
+        return f"/t/{subdir}/{name}"
+
+    got = naming.with_product_paths(rows, "/t/")
+    assert [c for c in got.columns if c.startswith("_")] == []
+    keys = ("base", "band", "exposure", "suffix", "kind")
+    for r in got.collect():
+        assert r["product_path"] == filled(*[r[k] for k in keys]), r
+    for r in naming.with_product_paths(rows.drop("exposure"), "/t").collect():
+        assert r["product_path"] == filled(r["base"], r["band"], None, r["suffix"], r["kind"], ("base", "band", "suffix")), r
+    # formats are cut once a kind
+    assert "_field0" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_roots_are_trimmed_where_they_end_in_a_slash(spark):
+    rows = spark.createDataFrame([("/a", "b"), ("/a//", "b"), ("/", "b"), ("", "b"), (None, "b"), ("/a/", None)], "r string, n string")
+    got = [r[0] for r in rows.select(naming.join_path("r", F.lit("m/"), "n")).collect()]
+    assert got == ["/a/m/b", "/a/m/b", "/m/b", "/m/b", "m/b", "/a/m"]
+
+
 def test_flux_scale_and_default_zero_point(spark):
     df = spark.createDataFrame([("a",)], "filename string")
     row = photometry.with_zero_point(df).select("mag_zero", photometry.flux_scale().alias("s")).first()
