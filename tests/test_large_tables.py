@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from registry import queries
 from skyjoin.operators import lists, overlap
+from skyjoin.sources import writers
 
 TILE = "tilename string, ra_cent double, dec_cent double, ra_size double, dec_size double"
 
@@ -84,3 +85,15 @@ def test_extremes_of_columns_are_not_sorted(spark, given):
     assert "hashpartitioning" not in plan(df) and "Sort " not in plan(df)
     rows = {r["column"]: r for r in df.collect()}
     assert rows["tilename"]["n"] == 300 and rows["tilename"]["least"] == "T00000000" and rows["crossra0"]["most"] == "Y"
+
+
+def test_smallest_rows_of_the_association_are_not_sorted(spark):
+    rows = spark.createDataFrame([("b", "g", 1.5), ("a", "r", None), ("a", "r", None), (None, "i", 2.0), ("c", 'q"', 2.0)], "FILEPATH_LOCAL string, BAND string, MAG_ZERO double")
+    df = writers.assoc_json_lines(rows)
+    assert "Sort " not in plan(df)
+    lines = [r["line"] for r in df.orderBy("part", "place", "key", "tie").collect()]
+    assert lines == [
+        '{"assoc": {', '  "FILEPATH_LOCAL": [', "      null", '    , "a"', '    , "a"', '    , "b"', '    , "c"', "  ],",
+        '  "BAND": [', '      "i"', '    , "r"', '    , "r"', '    , "g"', '    , "q\\""', "  ],",
+        '  "MAG_ZERO": [', "      2.0", "    , null", "    , null", "    , 1.5", "    , 2.0", "  ]", "}}"]
+    assert writers.assoc_json_lines(rows.filter("BAND = 'none'")).count() == 8
