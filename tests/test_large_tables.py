@@ -97,3 +97,11 @@ def test_smallest_rows_of_the_association_are_not_sorted(spark):
         '  "BAND": [', '      "i"', '    , "r"', '    , "r"', '    , "g"', '    , "q\\""', "  ],",
         '  "MAG_ZERO": [', "      2.0", "    , null", "    , null", "    , 1.5", "    , 2.0", "  ]", "}}"]
     assert writers.assoc_json_lines(rows.filter("BAND = 'none'")).count() == 8
+
+
+def test_image_paths_are_made_ahead_of_the_fan_out(spark, given):
+    """Searching a path for its last part is done once an image, not once an image and tile."""
+    lines = queries.QUERIES["mangle_lists"](spark, given)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(k for k, line in enumerate(lines) if "Join" in line and "_i_cell" in line)
+    found = [k for k, line in enumerate(lines) if "regexp_extract" in line]
+    assert found and min(found) > join
