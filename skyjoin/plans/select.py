@@ -189,8 +189,11 @@ def catalogs_of_exposures(catalogs: DataFrame, exposures: DataFrame) -> DataFram
 
 
 def catalogs_of_any(catalogs: DataFrame, exposures: DataFrame) -> DataFrame:
-    """Catalogue rows whose exposure was selected for any tile."""
-    return catalogs.join(exposures.select("expnum"), "expnum", "left_semi")
+    """Catalogue rows whose exposure was selected for any tile.
+
+    Exposures are made distinct first: Spark then counts the tiles of each out of the plan, so pairs don't travel.
+    """
+    return catalogs.join(exposures.select("expnum").distinct(), "expnum", "left_semi")
 
 
 def polygon_files(archive: DataFrame, tiles: DataFrame, version: str = naming.POLYGON_VERSION) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from registry import queries
 from skyjoin.operators import lists, overlap
+from skyjoin.plans import select
 from skyjoin.sources import writers
 
 TILE = "tilename string, ra_cent double, dec_cent double, ra_size double, dec_size double"
@@ -105,3 +106,16 @@ def test_image_paths_are_made_ahead_of_the_fan_out(spark, given):
     join = next(k for k, line in enumerate(lines) if "Join" in line and "_i_cell" in line)
     found = [k for k, line in enumerate(lines) if "regexp_extract" in line]
     assert found and min(found) > join
+
+
+def test_catalogues_of_any_exposure_move_no_pairs(spark, tables):
+    images, tiles = tables
+    images = images.withColumn("expnum", F.when(F.col("ra_cent") > 5, F.floor("ra_cent")))
+    exposures = select.selected_exposures(tiles, images)
+    known = {r["expnum"] for r in exposures.collect()}
+    first, second, *_ = sorted(known - {None})
+    rows = [("a", first), ("a", first), ("b", second), ("n", None), ("o", 999)]
+    cats = spark.createDataFrame(rows, "filename string, expnum long")
+    df = select.catalogs_of_any(cats, exposures)
+    assert "hashpartitioning(tilename" not in plan(df)
+    assert sorted(r["filename"] for r in df.collect()) == ["a", "a", "b"] and None in known
