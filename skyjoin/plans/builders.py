@@ -117,6 +117,14 @@ def build_exposure_catalog_inputs(
 RUN_KEY = ["reqnum", "unitname", "attnum"]
 
 
+def _once(df: DataFrame, *names: str) -> DataFrame:
+    """The same with ``names`` worked out once a row, however many tests the joins make of them.
+
+    They come out of a generator: tests on a projection move below it, where each works its column out anew.
+    """
+    return df.select(*[c for c in df.columns if c not in names], F.inline(F.array(F.struct(*names))))
+
+
 def provenance_inputs(
     image: DataFrame, archive: DataFrame, wgb: DataFrame, proctag: DataFrame, tag: str,
     filetype: str = "red", exec_name: str | None = "immask",
@@ -139,15 +147,15 @@ def provenance_by_artifact(
     pattern: str = "%immasked%", filetype: str = "red",
 ) -> DataFrame:
     """The same through artifacts and executed tasks: from the tag's tasks, few, to their files."""
-    files = _of_type(genfile, filetype).filter(F.col("filename").like(pattern)).select("filename")
+    files = _once(_of_type(genfile, filetype).select("filename"), "filename").filter(F.col("filename").like(pattern))
     tasks = execution.select("task_id", *RUN_KEY).join(_tagged(proctag, tag, RUN_KEY), RUN_KEY)
     made = (
-        generated_by.select("opm_artifact_id", "task_id").join(tasks, "task_id")
-        .join(artifact.select(F.col("name").alias("filename"), F.col("id").alias("opm_artifact_id")), "opm_artifact_id")
+        _once(generated_by.select("opm_artifact_id", "task_id"), "opm_artifact_id").join(tasks, "task_id")
+        .join(_once(artifact.select(F.col("name").alias("filename"), F.col("id").alias("opm_artifact_id")), "filename", "opm_artifact_id"), "opm_artifact_id")
         .join(files, "filename")
     )
     return (
         made.drop("opm_artifact_id", "task_id")
-        .join(archive.select("filename", "compression", "path"), "filename")
-        .join(image, "filename")
+        .join(_once(archive.select("filename", "compression", "path"), "filename"), "filename")
+        .join(_once(image, "filename"), "filename")
     )
