@@ -108,6 +108,16 @@ def test_image_paths_are_made_ahead_of_the_fan_out(spark, given):
     assert found and min(found) > join
 
 
+def test_few_rows_of_many_lists_are_written_by_all_tasks(spark, tmp_path):
+    """Making the files takes the time, so adaptive execution must not join the tasks by the size of their rows."""
+    rows = spark.range(120).select(F.concat(F.lit("T"), F.col("id") % 40).alias("tilename"), F.concat(F.lit("i"), F.lpad("id", 3, "0")).alias("filename"))
+    writers.write_list_files(rows, str(tmp_path / "lists"), ["tilename"], ["filename"], names=["filename"])
+    files = [f for f in (tmp_path / "lists").rglob("*.csv")]
+    assert len(files) == 40 and len({f.name[:10] for f in files}) > 4
+    assert next(f for f in files if f.parent.name == "tilename=T7").read_text() == "filename\ni007\ni047\ni087\n"
+    assert (tmp_path / "lists" / "_SUCCESS").exists() and not (tmp_path / "lists" / "_temporary").exists()
+
+
 def test_catalogues_of_any_exposure_move_no_pairs(spark, tables):
     images, tiles = tables
     images = images.withColumn("expnum", F.when(F.col("ra_cent") > 5, F.floor("ra_cent")))
