@@ -131,6 +131,17 @@ def test_catalogues_of_any_exposure_move_no_pairs(spark, tables):
     assert sorted(r["filename"] for r in df.collect()) == ["a", "a", "b"] and None in known
 
 
+def test_catalogues_of_tiles_are_not_broadcast(spark, tables, tmp_path):
+    images, tiles = tables
+    images = images.withColumn("expnum", F.substring("filename", 2, 9).cast("long") % 40)
+    spark.range(100).select(F.concat(F.lit("c"), "id").alias("filename"), (F.col("id") % 50).alias("expnum")).write.parquet(f"{tmp_path}/catalogs")
+    exposures = select.selected_exposures(tiles, images)
+    df = select.catalogs_of_exposures(spark.read.parquet(f"{tmp_path}/catalogs"), exposures).select("tilename", "filename")
+    assert "Broadcast" not in plan(df)
+    expected = sorted((r["tilename"], f"c{k}") for r in exposures.collect() for k in range(100) if k % 50 == r["expnum"])
+    assert expected and sorted(map(tuple, df.collect())) == expected
+
+
 def test_names_are_worked_out_once_for_all_joins_on_them(spark):
     def rows(*columns):
         return spark.range(30).withColumn("filename", F.concat(F.lit("f"), F.col("id") % 20)).select(*columns)
