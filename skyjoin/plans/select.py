@@ -50,7 +50,8 @@ def with_zeropoints(images: DataFrame, zeropoint: DataFrame, source=ZP_SOURCE, v
     # In a filter, which stays whatever columns are asked for later; the row's number keeps it above the
     # join, where zero points of other images are gone.
     bad = (F.col("_zeropoints") > 1) & (F.monotonically_increasing_id() >= 0)
-    return images.join(counted, "filename").filter(F.when(bad, several.cast("boolean")).otherwise(True)).drop("_zeropoints")
+    # merged: Spark reckons zero points by compressed files, and would send them through the driver
+    return images.join(counted.hint("merge"), "filename").filter(F.when(bad, several.cast("boolean")).otherwise(True)).drop("_zeropoints")
 
 
 def without_zeropoint(images: DataFrame, zeropoint: DataFrame, source=ZP_SOURCE, version=ZP_VERSION, flag=ZP_FLAG) -> DataFrame:

@@ -142,6 +142,18 @@ def test_catalogues_of_tiles_are_not_broadcast(spark, tables, tmp_path):
     assert expected and sorted(map(tuple, df.collect())) == expected
 
 
+def test_unique_zero_points_are_not_broadcast(spark, tables, tmp_path):
+    images, tiles = tables
+    spark.range(0, 2000, 2).select(
+        F.concat(F.lit("i"), "id").alias("imagename"), F.lit("FGCM").alias("source"), F.lit("v2.0").alias("version"),
+        F.lit(0).alias("flag"), (F.col("id") / 100).alias("mag_zero")).write.parquet(f"{tmp_path}/zeropoints")
+    df = select.select_inputs(tiles, images, zeropoint=spark.read.parquet(f"{tmp_path}/zeropoints"), zp_unique=True)
+    assert "Broadcast" not in plan(df)
+    pairs = [(r["tilename"], r["filename"]) for r in overlap.overlap_join(images, tiles).collect()]
+    expected = sorted((t, i, int(i[1:]) / 100) for t, i in pairs if int(i[1:]) % 2 == 0)
+    assert expected and sorted(map(tuple, df.select("tilename", "filename", "mag_zero").collect())) == expected
+
+
 def test_names_are_worked_out_once_for_all_joins_on_them(spark):
     def rows(*columns):
         return spark.range(30).withColumn("filename", F.concat(F.lit("f"), F.col("id") % 20)).select(*columns)
