@@ -369,6 +369,21 @@ def test_model_learns_order(spark, stage):
     assert sum(r.score for r in got) > 0.7 * sum(r.base_score for r in got)
 
 
+def test_model_learns_order_of_rare_words(spark, stage):
+    """The same of words without a class of their own: they are told apart as words and as contexts."""
+    cycle = [f"w{k}" for k in range(12)]
+    rows = [(k, " ".join(cycle[(k + j) % 12] for j in range(60))) for k in range(400)]
+    got = [r for r in lm.scores(spark.createDataFrame(rows, "doc_id long, text string"), stage, classes=2, rounds=6).collect() if r.held_out]
+    assert sum(r.score for r in got) > 0.9 * sum(r.base_score for r in got)
+
+
+def test_classes_grow_with_the_words():
+    assert [lm.group_count(n) for n in (0, 1, 10, 64, 10_000)] == [1, 1, 10, 64, 64]
+    assert lm.group_count(8_000_000) in (200, 201) and lm.group_count(10**9) in (1000, 1001)
+    words = [b"own", b"a", b"b", b"c"]
+    assert lm.classes_of(words, {b"own": 6}, 5).tolist() == [6, *(1 + zlib.crc32(w) % 5 for w in words[1:])]
+
+
 def test_empty_tables(empty, stage):
     for df in (
         near_dup.near_duplicates(empty, stage), bpe.encode(empty), shards.balanced_shards(empty, stage), substrings.remove_repeats(empty), token_counts.token_counts(empty),
