@@ -556,7 +556,8 @@ def drop_failed(t):
 
 
 def _bands(t):
-    return lists.bands_present(_pairs(t))
+    # one image of each band is enough, whichever it is; up to some 200 of them, making all pairs takes less than the rounds
+    return lists.bands_present(sampling.leading_pairs(t.sky_image, t.sky_tile, 1, 7, "expnum", ["tilename", "band"], whole=1 / 64))
 
 
 def _joined(c) -> Column:
@@ -644,22 +645,28 @@ def tile_names(t):
 
 # -- sampling --------------------------------------------------------------------------------------
 
+DRAWN = ["tilename", "band", "filename", "expnum"]
+
 
 @query
 def sample_exposures(t):
-    df = sampling.random_exposures(_pairs(t), seed=7, exposure=F.col("expnum"))
+    pairs = sampling.leading_pairs(t.sky_image, t.sky_tile, sampling.EXPOSURES_PER_BAND, 7, "expnum", DRAWN)
+    df = sampling.random_exposures(pairs, seed=7, exposure=F.col("expnum"))
     return sampling.tag_rows(df, "RAN_EXP")
 
 
 @query
 def sample_exposures_by_prefix(t):
-    return sampling.tag_rows(sampling.random_exposures(_pairs(t), seed=7), "RAN_EXP")
+    pairs = sampling.leading_pairs(t.sky_image, t.sky_tile, sampling.EXPOSURES_PER_BAND, 7, naming.exposure_prefix(), DRAWN)
+    return sampling.tag_rows(sampling.random_exposures(pairs, seed=7), "RAN_EXP")
 
 
 @query
 def sample_images(t):
     quota = {"g": 2, "r": 1, "i": 3, "z": 2, "Y": 1}
-    return sampling.tag_rows(sampling.random_images(_pairs(t), quota, seed=7), "RAN_CCD")
+    images = t.sky_image.filter(F.col("band").isin(*quota))
+    pairs = sampling.leading_pairs(images, t.sky_tile, max(quota.values()), 7, "filename", DRAWN)
+    return sampling.tag_rows(sampling.random_images(pairs, quota, seed=7), "RAN_CCD")
 
 
 # -- comparisons -----------------------------------------------------------------------------------

@@ -172,7 +172,7 @@ def _salted_images(images: DataFrame, salts: int) -> DataFrame:
 def overlap_join(
     images: DataFrame, tiles: DataFrame, search: str = "distance", *,
     wrap: str = "circle", pad: float = 0.5, cell: float = CELL_DEG,
-    salts: int = 1,
+    salts: int = 1, also: Column | None = None,
 ) -> DataFrame:
     """All (image, tile) pairs that overlap; image columns plus ``tile_`` columns.
 
@@ -183,13 +183,13 @@ def overlap_join(
     ``pad`` is the share of the image size that counts (0.5 = half).
     ``salts`` is the number of pieces a cell is cut into: one where adaptive execution
     splits skewed partitions, as it does by default; more where that is off. The tile side
-    is repeated once per piece.
+    is repeated once per piece. ``also`` is a further condition on both sides' columns; equalities in it are keys of the join.
     """
     image_box, _, _ = _search(search, wrap, pad)
-    return _met(_salted_images(_in_cells(images, image_box, cell, "_i"), salts), images.columns, tiles, search, wrap, pad, cell, salts)
+    return _met(_salted_images(_in_cells(images, image_box, cell, "_i"), salts), images.columns, tiles, search, wrap, pad, cell, salts, also)
 
 
-def _met(cells: DataFrame, columns: list[str], tiles: DataFrame, search: str, wrap: str, pad: float, cell: float, salts: int) -> DataFrame:
+def _met(cells: DataFrame, columns: list[str], tiles: DataFrame, search: str, wrap: str, pad: float, cell: float, salts: int, also: Column | None = None) -> DataFrame:
     tiles = tile_columns(tiles)
     _, tile_box, predicate = _search(search, wrap, pad)
     keep = [*columns, *tiles.columns]
@@ -198,6 +198,8 @@ def _met(cells: DataFrame, columns: list[str], tiles: DataFrame, search: str, wr
     if salts > 1:
         t = t.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_t_salt"))
         on = on & (F.col("_i_salt") == F.col("_t_salt"))
+    if also is not None:
+        on = on & also
     if tiles.inputFiles():
         t = t.hint("merge")
     return cells.join(t, on & _owner(cell) & predicate).select(*keep)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registry import queries
-from skyjoin.operators import lists, overlap
+from skyjoin.operators import lists, overlap, sampling
 from skyjoin.plans import builders, select
 from skyjoin.sources import writers
 
@@ -174,3 +174,44 @@ def test_names_are_worked_out_once_for_all_joins_on_them(spark):
     images = [(f"f{i % 20}", i) for i in range(30)]
     want = sorted((f, str(t), i) for f, t in made if t < 2 and f.startswith("f1") for a in ids if a == f for g, i in images if g == f)
     assert sorted((r["filename"], r["unitname"], r["id"]) for r in df.collect()) == want
+
+
+@pytest.fixture(scope="module")
+def crowded(spark, tmp_path_factory):
+    """Tiles of 80 images a band, a tile of two rows, one without a name, one with few images; images without band, exposure or name, and repeats."""
+    folder = str(tmp_path_factory.mktemp("crowded"))
+    rows = [(f"T{k % 11}" if k % 13 else None, 10.0 + k % 4 * 0.7, k // 4 * 0.6, 1.0, 1.0) for k in range(16)] + [("few", 200.0, 0.0, 1.0, 1.0), ("none", 300.0, 0.0, 1.0, 1.0)]
+    spark.createDataFrame(rows, TILE).write.parquet(f"{folder}/tiles")
+    images = spark.range(3000).select(
+        F.when(F.col("id") % 97 != 5, F.concat(F.lit("D"), F.col("id") % 2900, F.lit(".fits"))).alias("filename"), F.when(F.col("id") % 6 < 5, F.substring(F.lit("grizY"), (F.col("id") % 6 + 1).cast("int"), F.lit(1))).alias("band"),
+        F.when(F.col("id") % 50 != 7, F.floor(F.col("id") / 3)).alias("expnum"), (F.col("id") * 37 % 400 / 100 + 9).alias("ra_cent"), (F.col("id") * 71 % 450 / 100 - 1).alias("dec_cent"),
+        F.lit(0.25).alias("ra_size"), F.lit(0.125).alias("dec_size"))
+    far = [("far1.fits", "g", 9001), ("far2.fits", "g", 9002), ("far3.fits", "r", 9002), ("far4.fits", None, 9003)]
+    images = images.unionByName(spark.createDataFrame([(*x, 200.0, 0.0, 0.25, 0.125) for x in far], images.schema))
+    images.write.parquet(f"{folder}/images")
+    return spark.read.parquet(f"{folder}/images"), spark.read.parquet(f"{folder}/tiles")
+
+
+def rows_of(df):
+    return sorted(df.collect(), key=repr)
+
+
+@pytest.mark.parametrize("whole", [1.0, 0.0])
+def test_draws_need_few_of_the_pairs(crowded, whole, monkeypatch):
+    """Drawn from the leading pairs, exposures, images and bands are those drawn from all pairs."""
+    images, tiles = crowded
+    columns = ["tilename", "band", "filename", "expnum"]
+    pairs = overlap.overlap_join(images, tiles).select(*columns)
+    every, quota = pairs.count(), {"g": 2, "r": 1, "i": 3}
+    monkeypatch.setattr(sampling, "ROOM", 1)
+
+    def leading(n, value, images=images):
+        few = sampling.leading_pairs(images, tiles, n, 7, value, columns, probe=0.25, whole=whole)
+        assert (few.count() < every / 2) == bool(whole)
+        return few
+
+    for value in (F.col("expnum"), F.substring("filename", 1, 4)):
+        assert rows_of(sampling.random_exposures(leading(2, value), 2, 7, exposure=value)) == rows_of(sampling.random_exposures(pairs, 2, 7, exposure=value))
+    known = images.filter(F.col("band").isin(*quota))
+    assert rows_of(sampling.random_images(leading(3, "filename", known), quota, 7)) == rows_of(sampling.random_images(pairs, quota, 7))
+    assert rows_of(lists.bands_present(leading(1, "filename"))) == rows_of(lists.bands_present(pairs))
