@@ -215,3 +215,12 @@ def test_draws_need_few_of_the_pairs(crowded, whole, monkeypatch):
     known = images.filter(F.col("band").isin(*quota))
     assert rows_of(sampling.random_images(leading(3, "filename", known), quota, 7)) == rows_of(sampling.random_images(pairs, quota, 7))
     assert rows_of(lists.bands_present(leading(1, "filename"))) == rows_of(lists.bands_present(pairs))
+
+
+def test_a_list_is_one_file_made_by_one_of_many_tasks(spark, tmp_path):
+    rows = spark.range(0, 400, 1, 6).select(F.concat(F.lit("T"), F.col("id") % 40).alias("tilename"), F.concat(F.lit("i"), "id").alias("filename"))
+    for k, df in enumerate((rows, rows.coalesce(1))):
+        writers.write_list(df, str(tmp_path / f"lists{k}"), ["filename"], by=["tilename"])
+        files = [f for f in (tmp_path / f"lists{k}").rglob("*.csv")]
+        assert len(files) == 40 and len({f.name[:10] for f in files}) > 4
+        assert sorted(next(f for f in files if f.parent.name == "tilename=T7").read_text().split()) == sorted(["filename", *(f"i{n}" for n in range(7, 400, 40))])
